@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidecast import schemas
 from tidecast.session import materialize
-from tidecast.sources.raw import read_or_empty, stamp
+from tidecast.sources.raw import STAMP, read_or_empty
 
 LOAD = "processed/load_hourly"
 WEATHER = "processed/weather_hourly"
@@ -104,9 +104,9 @@ def publish(spark: SparkSession, root: str, forecast: DataFrame) -> DataFrame:
     return upsert(spark, root, PUBLISHED, forecast, ["time", "issued_at"])
 
 
-def write_forecast(forecast: DataFrame, root: str, issued_at: datetime) -> None:
+def write_forecast(forecast: DataFrame, root: str) -> None:
     """One append-only partition per (target day, issue)."""
-    forecast.withColumn("issue", F.lit(stamp(issued_at))).write.mode("append").partitionBy(
+    forecast.withColumn("issue", F.date_format("issued_at", STAMP)).write.mode("append").partitionBy(
         "target_day", "issue"
     ).parquet(table_path(root, FORECAST_ZONE))
 
