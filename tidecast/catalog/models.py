@@ -56,9 +56,9 @@ def model_root(spark: SparkSession, sf: str) -> str:
     root = fresh_path(spark, "model-root")
     cols = temp_columns(b.TYPES)
     full = complete_hours(b.hourly(spark, sf), b.temps_wide(spark, sf), cols)
-    tables.upsert(spark, root, tables.LOAD, full.select("time", "load_mw"), ["time"])
-    tables.upsert(spark, root, tables.WEATHER, full.select("time", *cols), ["time"])
-    tables.upsert(spark, root, tables.ISO, b.iso(spark, sf), ["time", "forecast_time"])
+    tables.upsert(spark, root, tables.LOAD, full.select("time", "load_mw"), ["time"], "month")
+    tables.upsert(spark, root, tables.WEATHER, full.select("time", *cols), ["time"], "month")
+    tables.upsert(spark, root, tables.ISO, b.iso(spark, sf), ["time", "forecast_time"], "month")
     return root
 
 
@@ -271,7 +271,7 @@ def rollback(spark, sf):
 def forecast(spark, sf):
     root, _ = trained_root(spark, sf)
     temps = tables.read_table(spark, root, tables.WEATHER, schemas.weather_hourly(b.TYPES))
-    out = run_forecast(spark, root, temps, date(2024, 1, 29), datetime(2024, 1, 28, 15, 30, tzinfo=UTC))
+    out = run_forecast(spark, root, temps, date(2024, 1, 29), datetime(2024, 1, 28, 15, 30, tzinfo=UTC), grain="month")
     return out.drop("model_id")
 
 

@@ -39,6 +39,7 @@ def process(
     end: date,
     stations: Sequence[str] = STATIONS,
     per_hour: int = READINGS_PER_HOUR,
+    grain: str = "day",
 ) -> dict[str, int]:
     """Rebuilds processed rows from raw partitions dated start..end; running it again on the
     same range changes nothing. Returns the row count of each table that had input."""
@@ -58,6 +59,6 @@ def process(
     counts = {}
     for name, raw, reshape, keys in jobs:
         if not raw.isEmpty():
-            merged = tables.upsert(spark, root, name, reshape(raw), keys)
+            merged = tables.upsert(spark, root, name, reshape(raw), keys, grain)
             counts[name.rsplit("/", 1)[-1]] = merged.count()
     return counts

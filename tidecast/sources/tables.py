@@ -35,6 +35,11 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+def period_of(time: Column, grain: str) -> Column:
+    """Partition value of a row: the first date of its day or month, a function of the key."""
+    return F.to_date(F.date_trunc(grain, time))
+
+
 def read_table(
     spark: SparkSession,
     root: str,
@@ -46,15 +51,15 @@ def read_table(
 ) -> DataFrame:
     """A stored table, typed and empty when it does not exist yet.
 
-    ``start`` and ``end`` bound ``time`` (half-open) in a table partitioned by UTC date:
-    whole partitions are skipped, then row groups.
+    ``start`` and ``end`` bound ``time`` (half-open) in a table partitioned by UTC day or
+    month: whole partitions are skipped, then row groups.
     """
     bounded = start is not None or end is not None
     full = T.StructType([*schema.fields, T.StructField("date", T.DateType())]) if bounded else schema
     df = read_or_empty(spark, table_path(root, name), full)
     if start is not None:
         lo = F.lit(start).cast("timestamp")
-        df = df.where((F.col("date") >= F.to_date(lo)) & (F.col("time") >= lo))
+        df = df.where((F.col("date") >= period_of(lo, "month")) & (F.col("time") >= lo))
     if end is not None:
         hi = F.lit(end).cast("timestamp")
         df = df.where((F.col("date") <= F.to_date(hi)) & (F.col("time") < hi))
@@ -62,17 +67,23 @@ def read_table(
 
 
 def upsert(
-    spark: SparkSession, root: str, name: str, new: DataFrame, keys: Sequence[str]
+    spark: SparkSession,
+    root: str,
+    name: str,
+    new: DataFrame,
+    keys: Sequence[str],
+    grain: str = "day",
 ) -> DataFrame:
     """Merges ``new`` (unique per key) into a table partitioned by UTC date of ``time``.
 
-    A new row replaces the old row of its key; old keys absent from ``new`` stay. Only the
+    ``grain`` is ``day`` for many series, ``month`` where a day is too little for a file of
+    its own; a table keeps the grain it was made with. A new row replaces the old row of its key; old keys absent from ``new`` stay. Only the
     dates that ``new`` touches are read and rewritten. Merged partitions are written out in
     full before the target is touched, so a lost job can simply be run again.
     """
     schema = new.schema
     full = T.StructType([*schema.fields, T.StructField("date", T.DateType())])
-    fresh = materialize(new.withColumn("date", F.to_date("time")), "upsert-new")
+    fresh = materialize(new.withColumn("date", period_of(F.col("time"), grain)), "upsert-new")
     span = fresh.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
     path = table_path(root, name)
     if span["lo"] is not None:
@@ -99,9 +110,9 @@ def overwrite_table(df: DataFrame, root: str, name: str) -> DataFrame:
     return staged
 
 
-def publish(spark: SparkSession, root: str, forecast: DataFrame) -> DataFrame:
+def publish(spark: SparkSession, root: str, forecast: DataFrame, grain: str = "day") -> DataFrame:
     """Adds a forecast to the one table readers use; the last write per (time, issue) wins."""
-    return upsert(spark, root, PUBLISHED, forecast, ["time", "issued_at"])
+    return upsert(spark, root, PUBLISHED, forecast, ["time", "issued_at"], grain)
 
 
 def write_forecast(forecast: DataFrame, root: str) -> None:

@@ -8,15 +8,21 @@ from datetime import UTC, datetime, timedelta
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType, TimestampType
 
 from tidecast.config import MAX_DATA_AGE_HOURS, REMIND_AFTER_HOURS
 
-_STATE = StructType.fromDDL("firing boolean, since timestamp, last_sent timestamp")
-_OUT = StructType.fromDDL(
-    "key string, at timestamp, event string, since timestamp, problem string"
-)
-_SEEN = StructType.fromDDL("modified_at timestamp")
+
+def _row(**columns) -> StructType:
+    # Built from types: a worker that loads this module has no session to parse DDL with.
+    return StructType([StructField(n, t) for n, t in columns.items()])
+
+
+_TS, _S = TimestampType(), StringType()
+_STATE = _row(firing=BooleanType(), since=_TS, last_sent=_TS)
+_OUT = _row(key=_S, at=_TS, event=_S, since=_TS, problem=_S)
+_SEEN = _row(modified_at=_TS)
+_CHECK = _row(key=_S, at=_TS, problem=_S)
 _REMIND = timedelta(hours=REMIND_AFTER_HOURS)
 
 
@@ -106,7 +112,7 @@ def stream_heartbeat(objects: DataFrame) -> DataFrame:
     when a processing-time timer finds that nothing was written for too long."""
     return objects.select("name", "modified_at").groupBy("name").transformWithStateInPandas(
         statefulProcessor=HeartbeatProcessor(),
-        outputStructType=StructType.fromDDL("key string, at timestamp, problem string"),
+        outputStructType=_CHECK,
         outputMode="append",
         timeMode="processingTime",
     )

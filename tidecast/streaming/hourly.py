@@ -44,6 +44,7 @@ def stream_latest(
     order_cols: Sequence[str],
     checkpoint: str,
     reshape: Callable[[DataFrame], DataFrame] = lambda df: df,
+    grain: str = "day",
     **trigger,
 ) -> StreamingQuery:
     """Upserts every micro-batch into a table: newest row per key within the batch, and the
@@ -51,7 +52,7 @@ def stream_latest(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         newest = reshape(latest_wins(batch, keys, order_cols))
-        tables.upsert(batch.sparkSession, root, name, newest, keys)
+        tables.upsert(batch.sparkSession, root, name, newest, keys, grain)
 
     return (
         raw.writeStream.foreachBatch(merge)
