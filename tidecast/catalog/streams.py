@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tidecast import schemas
 from tidecast.catalog import base as b
-from tidecast.catalog import joins
-from tidecast.catalog.base import ORACLES, cte, query, rounded
+from tidecast.catalog import joins  # noqa: F401  (registers the SQL that S3 shares)
+from tidecast.catalog.base import ORACLES, query, rounded
 from tidecast.session import fresh_path
 from tidecast.sources import tables
 from tidecast.streaming.alerts import stream_alerts, stream_heartbeat
@@ -41,7 +41,9 @@ def _drain(spark: SparkSession, out: DataFrame, seconds: float | None = None) ->
             run.awaitTermination()
         else:
             run = writer.trigger(processingTime="0 seconds").start()
-            run.processAllAvailable()
+            # Timers keep batches coming, so wait for the first one, then a fixed time.
+            while run.isActive and not run.recentProgress:
+                time.sleep(0.2)
             time.sleep(seconds)
             run.stop()
     finally:
