@@ -74,7 +74,6 @@ def mark_runs(checks: DataFrame) -> DataFrame:
         .withColumn("_start", F.when(F.col("event") == "firing", F.col("at")))
         .select("key", "_slice", "at", "problem", "failing", "event", "_start")
     )
-    marked = materialize(marked, "alert-marks")
     starts = marked.groupBy(*slice_keys).agg(F.max("_start").alias("_start"))
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
     carried = starts.select(*slice_keys, F.max("_start").over(earlier).alias("_carry"))
@@ -146,9 +145,11 @@ def _reminders(runs: DataFrame) -> DataFrame | None:
         doubled = half.join(onward, [*run, "to"]).select(*run, "off", F.col("_then").alias("to"))
         jumps.append(materialize(doubled, "alert-jumps"))
     reached = lengths.select(*run, F.lit(0).cast("long").alias("off"))
-    for jump in reversed(jumps):
+    for i, jump in enumerate(reversed(jumps), start=1):
         stepped = reached.join(jump, [*run, "off"]).select(*run, F.col("to").alias("off"))
-        reached = materialize(reached.unionByName(stepped), "alert-reached")
+        reached = reached.unionByName(stepped)
+        if i % 3 == 0:  # each round doubles the plan
+            reached = materialize(reached, "alert-reached")
     return reached.where("off > 0")
 
 

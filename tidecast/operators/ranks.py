@@ -30,7 +30,8 @@ def ordered_counts(
 
     The slice limits come from a sketch, which only balances the work: any limits give the
     same totals. Because a sketch may differ when re-run, counts and slices are written out
-    once before they are used twice.
+    once before they are used twice. The result is written out too: statistics take several
+    passes over it, and none of them should sort again.
     """
     by = list(by)
     counts = (
@@ -56,26 +57,28 @@ def ordered_counts(
     )
     inside = Window.partitionBy(*by, "_slice").orderBy(value_col)
     inside = inside.rowsBetween(Window.unboundedPreceding, 0)
-    return sliced.join(totals, [*by, "_slice"]).select(
+    running = sliced.join(totals, [*by, "_slice"]).select(
         *by,
         value_col,
         *weights,
         *[(F.col(f"_b_{w}") + F.sum(w).over(inside)).alias(f"cum_{w}") for w in weights],
         *[f"total_{w}" for w in weights],
     )
+    return materialize(running, "running-counts")
 
 
 def decile_points(bins: int) -> list[float]:
     return [i * (1.0 / bins) for i in range(1, bins)]
 
 
-def interpolated_quantiles(
-    counts: DataFrame, by: Sequence[str], value_col: str, weight: str, points: Sequence[float]
-) -> DataFrame:
-    """Exact quantiles with linear interpolation, as an array column ``quantiles``.
+def quantile_parts(
+    value_col: str, weight: str, points: Sequence[float]
+) -> tuple[list[Column], Column]:
+    """Exact quantiles with linear interpolation: (aggregates over the counts of a group, the
+    array of quantiles made from them).
 
     The value at rank r is the one whose running total first exceeds r, so each point is
-    two conditional aggregates over the counts.
+    two conditional aggregates.
     """
 
     def at_rank(rank: Column) -> Column:
@@ -92,5 +95,4 @@ def interpolated_quantiles(
         part = (F.col("_n") - 1) * F.lit(p)
         step = part - F.floor(part)
         quantiles.append(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * step)
-    got = counts.groupBy(*by).agg(F.max(f"total_{weight}").alias("_n"), *picks)
-    return got.select(*by, F.array(*quantiles).alias("quantiles"))
+    return [F.max(f"total_{weight}").alias("_n"), *picks], F.array(*quantiles)

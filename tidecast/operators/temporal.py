@@ -24,10 +24,9 @@ def per_series(series: Cols) -> WindowSpec:
 
 
 def _picked(df: DataFrame, keys: Cols, order_cols: Cols, newest: bool) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
-    tie_break = [c for c in rest if c not in order_cols]
-    pick = F.max_by if newest else F.min_by
-    row = pick(F.struct(*rest), F.struct(*order_cols, *tie_break)).alias("_row")
+    rest = [c for c in df.columns if c not in keys and c not in order_cols]
+    pick = F.max if newest else F.min
+    row = pick(F.struct(*order_cols, *rest)).alias("_row")
     return df.groupBy(*keys).agg(row).select(*keys, "_row.*").select(*df.columns)
 
 
