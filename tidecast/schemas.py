@@ -78,6 +78,7 @@ MODEL_EVENTS = _table(
     seq=_L,
 )
 MODEL_VERSIONS = _table(version=_S, model_id=_S, model_path=_S, metadata=_S, tags=T.MapType(_S, _S))
+MODEL_TAGS = _table(version=_S, tag=_S, value=_S, at=_TS, seq=_L)
 ALERT_STATE = _table(
     key=_S, firing=_B, since=_TS, last_sent=_TS, resolved_at=_TS, message=_S
 )

@@ -28,8 +28,6 @@ DRIFT_LATEST = "published/monitoring/drift_latest"
 ALERT_STATE = "published/monitoring/alert_state"
 STATUS = "published/monitoring/status"
 
-TAG_SCHEMA = T.StructType.fromDDL("version string, tag string, value string, at timestamp, seq long")
-
 
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
@@ -167,15 +165,15 @@ def append_event(
 
 
 def append_tags(spark: SparkSession, root: str, version: str, tags: dict, at: Column | None = None) -> None:
-    seq = _next_seq(spark, root, TAGS, TAG_SCHEMA)
+    seq = _next_seq(spark, root, TAGS, schemas.MODEL_TAGS)
     rows = [(str(version), k, "" if v is None else str(v), seq) for k, v in tags.items()]
     df = spark.createDataFrame(rows, "version string, tag string, value string, seq long")
     stamped = df.withColumn("at", at if at is not None else F.current_timestamp())
-    _append(stamped.select(*TAG_SCHEMA.fieldNames()), root, TAGS)
+    _append(stamped.select(*schemas.MODEL_TAGS.fieldNames()), root, TAGS)
 
 
 def read_tags(spark: SparkSession, root: str) -> DataFrame:
-    return read_table(spark, root, TAGS, TAG_SCHEMA)
+    return read_table(spark, root, TAGS, schemas.MODEL_TAGS)
 
 
 def append_version(spark: SparkSession, root: str, version: str, model_path: str, metadata: dict) -> None:
