@@ -6,6 +6,8 @@ import sys
 from datetime import UTC, date, datetime, timedelta
 from pathlib import Path
 
+from zoneinfo import ZoneInfo
+
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
@@ -14,6 +16,8 @@ from tidecast.config import STATIONS  # noqa: E402
 from tidecast.plans.training import local_midnight_utc  # noqa: E402
 from tidecast.session import build_session  # noqa: E402
 
+LOCAL = ZoneInfo("America/New_York")
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -42,11 +46,11 @@ def hours_between(start: datetime, end: datetime) -> list[datetime]:
 
 
 def make_tables(start: datetime, end: datetime, seed: int = 7):
-    """Hourly demand that follows the clock and the temperature: (load rows, weather rows)."""
+    """Hourly demand that follows the local clock and the temperature: (load rows, weather rows)."""
     rng = random.Random(seed)
     load, weather = [], []
     for t in hours_between(start, end):
-        wave = math.sin(2 * math.pi * (t.hour - 9) / 24)
+        wave = math.sin(2 * math.pi * (t.astimezone(LOCAL).hour - 9) / 24)
         temp = 5 + 8 * wave + rng.gauss(0, 1)
         load.append((t, 13000.0 + 2500 * wave - 120 * temp + rng.gauss(0, 150)))
         weather.append((t, *[temp] * len(STATIONS)))
