@@ -238,6 +238,18 @@ def missing_hours(spark, sf):
     return quality.missing_hours(errors, "2024-01-01T00:00:00Z", "2024-01-31T00:00:00Z")
 
 
+@query(
+    "C11_missing_hours_by_series",
+    cte("sload")
+    + """, k AS (SELECT DISTINCT series FROM sload),
+         s AS (SELECT series, unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 23:00:00',
+         INTERVAL 1 HOUR)) AS time FROM k) SELECT series, time FROM s ANTI JOIN sload USING (series, time)""",
+)
+def missing_hours_by_series(spark, sf):
+    load = b.hourly_by_type(spark, sf)
+    return quality.missing_hours(load, "2024-01-01T00:00:00Z", "2024-01-31T00:00:00Z", ["series"])
+
+
 @query(
     "C11_missing_report",
     """WITH p AS (SELECT DISTINCT date_trunc('hour', ts) AS time FROM events WHERE event_type = 'error'),

@@ -65,10 +65,15 @@ def day_spine_of(df: DataFrame, day_col: str, series: tuple[str, ...] = ()) -> D
 
 def hour_spine(spark: SparkSession, start, end) -> DataFrame:
     """Hour starts in the half-open span [start, end)."""
+    return hour_spine_of(spark.range(1), start, end).select("time")
+
+
+def hour_spine_of(rows: DataFrame, start, end) -> DataFrame:
+    """Each row once per hour start in [start, end)."""
     lo, hi = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
     last = hi - F.expr("INTERVAL 1 MICROSECOND")
     hour_starts = F.sequence(lo, last, F.expr("INTERVAL 1 HOUR"))
-    return spark.range(1).where(lo < hi).select(F.explode(hour_starts).alias("time"))
+    return rows.where(lo < hi).withColumn("time", F.explode(hour_starts))
 
 
 def target_hours(days: DataFrame, day_col: str = "target_day", tz: str = LOCAL_TZ) -> DataFrame:

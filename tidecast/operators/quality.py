@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.config import LOAD_RANGE_MW, STATIONS, TEMP_RANGE_C
-from tidecast.functions.timeline import hour_spine
+from tidecast.functions.timeline import hour_spine, hour_spine_of
 
 
 class DataValidationError(Exception):
@@ -28,24 +28,31 @@ class TableRules:
     ranges: dict[str, tuple[float, float]] = field(default_factory=dict)
 
 
-def load_rules(limits: tuple[float, float] = LOAD_RANGE_MW) -> TableRules:
+def load_rules(
+    limits: tuple[float, float] = LOAD_RANGE_MW, series: dict[str, T.DataType] | None = None
+) -> TableRules:
+    """Rules of the hourly load; ``series`` names the columns (with types) of a series key."""
+    series = series or {}
     return TableRules(
         "load_hourly",
-        {"time": T.TimestampType(), "load_mw": T.DoubleType()},
-        unique=("time",),
+        {**series, "time": T.TimestampType(), "load_mw": T.DoubleType()},
+        unique=(*series, "time"),
         on_the_hour=("time",),
         ranges={"load_mw": limits},
     )
 
 
 def weather_rules(
-    stations: Sequence[str] = STATIONS, limits: tuple[float, float] = TEMP_RANGE_C
+    stations: Sequence[str] = STATIONS,
+    limits: tuple[float, float] = TEMP_RANGE_C,
+    series: dict[str, T.DataType] | None = None,
 ) -> TableRules:
+    series = series or {}
     temps = [f"temp_{s}" for s in stations]
     return TableRules(
         "weather_hourly",
-        {"time": T.TimestampType(), **{t: T.DoubleType() for t in temps}},
-        unique=("time",),
+        {**series, "time": T.TimestampType(), **{t: T.DoubleType() for t in temps}},
+        unique=(*series, "time"),
         on_the_hour=("time",),
         ranges={t: limits for t in temps},
     )
@@ -123,10 +130,14 @@ def require_valid(df: DataFrame, rules: TableRules, shown: int = 10) -> None:
         raise DataValidationError(f"{rules.name}: {total} failed checks\n{cases}")
 
 
-def missing_hours(df: DataFrame, start, end) -> DataFrame:
-    """Hours of [start, end) without a row."""
-    spine = hour_spine(df.sparkSession, start, end)
-    return spine.join(df.select("time"), "time", "left_anti")
+def missing_hours(df: DataFrame, start, end, series: Sequence[str] = ()) -> DataFrame:
+    """Hours of [start, end) without a row, for every series that has any row at all."""
+    keys = [*series, "time"]
+    if series:
+        spine = hour_spine_of(df.select(*series).distinct(), start, end)
+    else:
+        spine = hour_spine(df.sparkSession, start, end)
+    return spine.join(df.select(*keys), keys, "left_anti")
 
 
 def missing_report(missing: DataFrame, shown: int = 5) -> DataFrame:
@@ -137,8 +148,8 @@ def missing_report(missing: DataFrame, shown: int = 5) -> DataFrame:
     return both.agg(F.sum("n").alias("missing"), F.sort_array(F.collect_list("time")).alias("first"))
 
 
-def require_hours(df: DataFrame, start, end, name: str) -> None:
-    found = missing_report(missing_hours(df, start, end)).first()
+def require_hours(df: DataFrame, start, end, name: str, series: Sequence[str] = ()) -> None:
+    found = missing_report(missing_hours(df, start, end, series)).first()
     if found["missing"]:
         sample = ", ".join(t.isoformat() for t in found["first"])
         raise DataValidationError(

@@ -48,13 +48,16 @@ def build_features(
 ) -> DataFrame:
     """Features of every target hour as of its own issue time.
 
-    ``targets`` holds (series..., time, issue_time) and may span many days and series; each
-    input is shuffled once by (series, hour). ``temps`` is the weather as forecast.
+    ``targets`` holds (series..., time, issue_time) and may span many days and series.
+    ``temps`` is the weather as forecast. The last known load is joined first, while the
+    rows are narrow (a caller that knows it per day brings it along); after that every join
+    is on (series, time), so the growing frame is shuffled once.
     """
     cols = temp_columns(stations)
+    if "last_known_load" not in targets.columns:
+        targets = last_known(targets, load, issue_col, series)
     feats = lag_features(targets, load, lags, issue_col, series, extra_shifts=extra_shifts)
     feats = attach_weather(feats, temps, cols, series)
-    feats = last_known(feats, load, issue_col, series)
     feats = calendar_features(feats, "time", tz)
     return feats.withColumns(
         {"temp_mean": row_mean(cols), "lead_hours": lead_hours(F.col("time"), F.col(issue_col))}
@@ -82,10 +85,13 @@ def training_frame(
 ) -> DataFrame:
     """Features and label ``load_mw`` for all days in one plan, each day as of its own issue.
 
-    The label is a shift of zero hours, so it rides along with the lags. Hours without a
-    label are dropped.
+    The label is a shift of zero hours, so it rides along with the lags. The last known load
+    depends on the issue time alone, so it is found once per day, before a day becomes 23 to
+    25 rows. Hours without a label are dropped.
     """
-    targets = day_targets(days, issue_local, series, tz)
+    issue = scheduled_issue_time(F.col("target_day"), issue_local, tz)
+    issued = last_known(days.withColumn("issue_time", issue), load, "issue_time", series)
+    targets = target_hours(issued, "target_day", tz)
     shifts = {"load_mw": 0, **(extra_shifts or {})}
     frame = build_features(load, temps, targets, lags, "issue_time", stations, series, tz, shifts)
     wanted = [*series, "target_day", "time", *feature_names(lags, stations), *shifts]
