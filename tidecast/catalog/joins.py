@@ -255,7 +255,8 @@ def missing_hours_by_series(spark, sf):
     """WITH p AS (SELECT DISTINCT date_trunc('hour', ts) AS time FROM events WHERE event_type = 'error'),
        s AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 23:00:00', INTERVAL 1 HOUR))
        AS time), m AS (SELECT time FROM s ANTI JOIN p USING (time))
-       SELECT count(*) AS missing, array_to_string(list_sort(list(strftime(time, '%Y-%m-%d %H:%M:%S')))[1:5], ', ')
+       SELECT count(*) AS missing,
+       coalesce(array_to_string(list_sort(list(strftime(time, '%Y-%m-%d %H:%M:%S')))[1:5], ', '), '')
        AS first_missing FROM m""",
 )
 def missing_report(spark, sf):

@@ -24,6 +24,7 @@ _OUT = _row(key=_S, at=_TS, event=_S, since=_TS, problem=_S)
 _SEEN = _row(modified_at=_TS)
 _CHECK = _row(key=_S, at=_TS, problem=_S)
 _REMIND = timedelta(hours=REMIND_AFTER_HOURS)
+_RECHECK_MS = 3_600_000
 
 
 class AlertProcessor(StatefulProcessor):
@@ -61,7 +62,8 @@ class AlertProcessor(StatefulProcessor):
 
 
 class HeartbeatProcessor(StatefulProcessor):
-    """Remembers the newest write per object and wakes up when none came for too long."""
+    """Remembers the newest write per object, wakes up when none came for too long, and
+    looks again every hour while the silence lasts."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -86,6 +88,7 @@ class HeartbeatProcessor(StatefulProcessor):
         age = pd.Timestamp(now, unit="ms") - newest
         hours = age.total_seconds() / 3600
         text = f"{key[0]} last updated {hours:.1f} h ago (limit {MAX_DATA_AGE_HOURS} h)"
+        self.handle.registerTimer(now + _RECHECK_MS)
         yield _checks(key[0], now, text if hours > MAX_DATA_AGE_HOURS else None)
 
     def close(self) -> None:
