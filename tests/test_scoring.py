@@ -1,4 +1,4 @@
-from datetime import UTC, date, timedelta
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F

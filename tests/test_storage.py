@@ -104,6 +104,9 @@ def test_payload_arrays_become_rows(spark):
     assert rows[1]["time"].astimezone(UTC) == utc(2026, 1, 1, 1)
 
 
-def test_shared_folder_is_the_named_one(spark):
+def test_shared_folder_is_the_named_one_and_stays_the_same(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    assert shared_dir(spark) == (named or shared_dir(spark))
+    first = shared_dir(spark)
+    assert first == shared_dir(spark)
+    assert not named or first == named.rstrip("/")
+    assert fresh_path(spark, "x") != fresh_path(spark, "x")

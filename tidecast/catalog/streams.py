@@ -8,7 +8,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast import schemas
 from tidecast.catalog import base as b
 from tidecast.catalog import joins  # noqa: F401  (registers the SQL that S3 shares)
 from tidecast.catalog.base import ORACLES, query, rounded
