@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidecast.catalog import all_queries  # noqa: E402
-from tidecast.session import build_session  # noqa: E402
+from tidecast.session import build_session, use_local_dir  # noqa: E402
 
 HEADLINE = [
     "D1_hourly_mean",
@@ -54,6 +54,7 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
+    use_local_dir(spark)
     known = all_queries()
     times = {}
     for name in only.split(",") if only else HEADLINE:

@@ -14,7 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from tidecast.config import STATIONS  # noqa: E402
 from tidecast.plans.training import local_midnight_utc  # noqa: E402
-from tidecast.session import build_session  # noqa: E402
+from tidecast.session import build_session, use_local_dir  # noqa: E402
 
 LOCAL = ZoneInfo("America/New_York")
 
@@ -32,6 +32,7 @@ def spark():
         },
     )
     session.sparkContext.setLogLevel("ERROR")
+    use_local_dir(session)
     yield session
     session.stop()
 

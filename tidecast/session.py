@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_SHARED: dict[str, str] = {}
+_CHOSEN: dict[str, str] = {}
 
 
 def build_session(app: str = "tidecast", master: str | None = None, **conf) -> SparkSession:
@@ -33,20 +33,31 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``.
+def use_shared_dir(spark: SparkSession, path: str) -> None:
+    """Choose the folder for a session that names none; the caller vouches that all reach it."""
+    _CHOSEN[spark.sparkContext.applicationId] = path.rstrip("/")
 
-    Only a local-mode session without that setting gets a temporary folder.
-    """
-    sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not sc.master.startswith("local"):
+
+def use_local_dir(spark: SparkSession) -> None:
+    """A temporary folder for a session in local mode that names none; otherwise nothing."""
+    if spark.sparkContext.master.startswith("local") and not _named_dir(spark):
+        if not spark.sparkContext.master.startswith("local-cluster"):
+            use_shared_dir(spark, tempfile.mkdtemp(prefix="tidecast-"))
+
+
+def _named_dir(spark: SparkSession) -> str | None:
+    return (
+        spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        or spark.conf.get("spark.checkpoint.dir", None)
+        or _CHOSEN.get(spark.sparkContext.applicationId)
+    )
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or the caller's choice."""
+    if not (named := _named_dir(spark)):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if sc.applicationId not in _LOCAL_SHARED:
-        _LOCAL_SHARED[sc.applicationId] = tempfile.mkdtemp(prefix="tidecast-")
-    return _LOCAL_SHARED[sc.applicationId]
+    return named.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
