@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidecast.llm.chat import chat_windows, window_digests
-from tidecast.llm.common import ORACLES, QUERIES, query, table
+from tidecast.llm.common import ORACLES, QUERIES, materialize, query, table
 from tidecast.llm.exact import exact_groups
+from tidecast.llm.mixing import count_tokens, domain_of, mix_sources
+from tidecast.llm.packing import pack_documents
 from tidecast.llm.quality import quality_scores
 from tidecast.llm.secrets import secret_report
 from pyspark.sql import functions as F
@@ -18,11 +20,27 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def pack_with_public_vocabulary(docs: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    return pack_documents(
+        docs,
+        tokenizer_path("byte_bpe_50k.json"),
+        tokenizer_path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+
+
 @query("op1_quality_classifier")
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op3_packing")
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_with_public_vocabulary(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op6_exact_dedup",
     """
@@ -40,6 +58,140 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+#: Target weights of the mixture; names that are not listed weigh 1.
+MIX_WEIGHTS = {
+    "domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 2},
+    "lang": {"en": 5, "de": 2, "fr": 2},
+    "source": {"src0": 2},
+}
+MIX_PERCENT, MIX_EPOCHS, MIX_SEED = 60, 2, 7
+
+
+def mix_tree() -> dict:
+    return {
+        "domain": domain_of("source"),
+        "lang": F.coalesce("lang", F.lit("")),
+        "source": F.coalesce("source", F.lit("")),
+    }
+
+
+def mix_documents(docs: DataFrame) -> DataFrame:
+    """``docs`` with mix_epoch, one row per selected copy."""
+    tokens = docs.select(
+        "doc_id", *(c.alias(k) for k, c in mix_tree().items()), count_tokens().alias("n_tokens")
+    )
+    return mix_sources(
+        docs,
+        materialize(tokens, "mix-tokens"),
+        mix_tree(),
+        MIX_WEIGHTS,
+        count_tokens(),
+        MIX_PERCENT,
+        MIX_EPOCHS,
+        MIX_SEED,
+    )
+
+
+def _weight_sql(level: str) -> str:
+    cases = " ".join(f"WHEN '{k}' THEN {v}" for k, v in MIX_WEIGHTS[level].items())
+    return f"(CASE {level} {cases} ELSE 1 END)::HUGEINT"
+
+
+def _level_sql(name: str, above: list[str], level: str, part: str) -> str:
+    """CTEs that share ``part`` of the parent's table among the children at ``level``."""
+    names = ", ".join([*above, level])
+    parent = f"PARTITION BY {', '.join(above)}" if above else ""
+    join = f"JOIN {part} USING ({', '.join(above)})" if above else ""
+    given = "given AS part" if above else f"(SELECT sum(tokens) FROM leaves) * {MIX_PERCENT} // 100 AS part"
+    return f"""
+    {name}0 AS (
+        SELECT c.*, {given}, {_weight_sql(level)} AS w, c.cap::DOUBLE / w AS ratio
+        FROM (SELECT {names}, sum(tokens) * {MIX_EPOCHS} AS cap FROM leaves GROUP BY {names}) c {join}
+    ),
+    {name}1 AS (
+        SELECT *, sum(cap) OVER up_to - cap AS before,
+               sum(w) OVER whole - sum(w) OVER up_to + w AS remaining
+        FROM {name}0
+        WINDOW up_to AS ({parent} ORDER BY ratio, {level} ROWS UNBOUNDED PRECEDING),
+               whole AS ({parent})
+    ),
+    {name}2 AS (
+        SELECT *, (part - before) * w >= cap * remaining AS filled,
+               CASE WHEN (part - before) * w >= cap * remaining THEN 0 ELSE w END AS open_w
+        FROM {name}1
+    ),
+    {name}3 AS (
+        SELECT *, part - coalesce(sum(cap) FILTER (filled) OVER whole, 0) AS rest,
+               sum(open_w) OVER whole AS open_all, sum(open_w) OVER up_to AS open_to
+        FROM {name}2
+        WINDOW up_to AS ({parent} ORDER BY ratio, {level} ROWS UNBOUNDED PRECEDING),
+               whole AS ({parent})
+    ),
+    {name} AS (
+        SELECT {names}, CASE WHEN filled THEN cap ELSE
+               (rest * open_to) // open_all - (rest * (open_to - w)) // open_all END AS given
+        FROM {name}3
+    )"""
+
+
+_MIX_SQL = f"""
+    WITH docs AS (
+        SELECT doc_id,
+               CASE WHEN number = '' THEN 'x' ELSE 'd' || (number::BIGINT // 5) END AS domain,
+               coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS n_tokens
+        FROM (SELECT *, regexp_extract(coalesce(source, ''), '([0-9]{{1,9}})$', 1) AS number
+              FROM documents)
+    ),
+    leaves AS (
+        SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS tokens FROM docs
+        GROUP BY domain, lang, source
+    ),
+    {_level_sql("by_domain", [], "domain", "")},
+    {_level_sql("by_lang", ["domain"], "lang", "by_domain")},
+    {_level_sql("by_source", ["domain", "lang"], "source", "by_lang")},
+    budgets AS (
+        SELECT *, coalesce(given // nullif(tokens, 0), 0) AS epochs,
+               given - coalesce(given // nullif(tokens, 0), 0) * tokens AS rest
+        FROM leaves JOIN by_source USING (domain, lang, source)
+    ),
+    placed AS (
+        SELECT d.*, epochs, rest,
+               sum(n_tokens) OVER (
+                   PARTITION BY domain, lang, source
+                   ORDER BY md5(concat_ws('|', coalesce(doc_id::VARCHAR, ''), '{MIX_SEED}',
+                                          epochs::VARCHAR)), doc_id
+                   ROWS UNBOUNDED PRECEDING) AS upto
+        FROM docs d JOIN budgets USING (domain, lang, source)
+    )
+    SELECT doc_id, domain, lang, source, n_tokens::BIGINT AS n_tokens,
+           unnest(range(0, (epochs + CASE WHEN upto <= rest AND (rest > 0 OR epochs = 0)
+                                     THEN 1 ELSE 0 END)::BIGINT)) AS mix_epoch
+    FROM placed
+"""
+
+
+@query("op8_source_mixing", _MIX_SQL)
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    narrow = materialize(
+        docs.select(
+            "doc_id", *(c.alias(k) for k, c in mix_tree().items()), count_tokens().alias("n_tokens")
+        ),
+        "mix-tokens",
+    )
+    return mix_sources(
+        narrow,
+        narrow,
+        {k: F.col(k) for k in mix_tree()},
+        MIX_WEIGHTS,
+        F.col("n_tokens"),
+        MIX_PERCENT,
+        MIX_EPOCHS,
+        MIX_SEED,
+    )
+
+
 @query("op9_secret_scans")
 def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
