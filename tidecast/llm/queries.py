@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidecast.llm.chat import chat_windows, window_digests
 from tidecast.llm.common import ORACLES, QUERIES, materialize, query, table
+from tidecast.llm.embeddings import near_vectors
 from tidecast.llm.exact import exact_groups
 from tidecast.llm.mixing import count_tokens, domain_of, mix_sources
 from tidecast.llm.packing import pack_documents
@@ -41,6 +42,11 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_with_public_vocabulary(table(spark, sf_dir, "documents"))
 
 
+@query("op5_embedding_near_dedup")
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 @query(
     "op6_exact_dedup",
     """
