@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidecast.llm.chat import chat_windows, window_digests
 from tidecast.llm.common import ORACLES, QUERIES, materialize, query, table
@@ -12,7 +13,7 @@ from tidecast.llm.mixing import count_tokens, domain_of, mix_sources
 from tidecast.llm.packing import pack_documents
 from tidecast.llm.quality import quality_scores
 from tidecast.llm.secrets import secret_report
-from pyspark.sql import functions as F
+from tidecast.llm.toxicity import toxicity_scores
 
 
 def tokenizer_path(name: str) -> str:
@@ -64,6 +65,11 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+@query("op7_toxicity")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 #: Target weights of the mixture; names that are not listed weigh 1.
 MIX_WEIGHTS = {
     "domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 2},
