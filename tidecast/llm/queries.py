@@ -9,6 +9,7 @@ from tidecast.llm.chat import chat_windows, window_digests
 from tidecast.llm.common import ORACLES, QUERIES, materialize, query, table
 from tidecast.llm.embeddings import near_vectors
 from tidecast.llm.exact import exact_groups
+from tidecast.llm.jaccard import near_components
 from tidecast.llm.mixing import count_tokens, domain_of, mix_sources
 from tidecast.llm.packing import pack_documents
 from tidecast.llm.quality import quality_scores
@@ -43,6 +44,11 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_with_public_vocabulary(table(spark, sf_dir, "documents"))
 
 
+@query("op4_ngram_jaccard")
+def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 @query("op5_embedding_near_dedup")
 def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
