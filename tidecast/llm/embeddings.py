@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tidecast.llm.common import bounded_batches, materialize
 from tidecast.llm.components import components
 
-BLOCK = 1024
+BLOCK = 512
 LEADING = (8, 24)
 
 
@@ -120,8 +120,8 @@ def compare_tile(
     product = product[i, j]
     for start, stop in zip(stops, stops[1:], strict=False):
         out = [np.empty(0, dtype=bool)]
-        for lo in range(0, len(i), 1 << 16):
-            s = slice(lo, lo + (1 << 16))
+        for lo in range(0, len(i), 1 << 14):
+            s = slice(lo, lo + (1 << 14))
             product[s] += (a[i[s], start:stop] * b[j[s], start:stop]).sum(axis=1)
             rest_i = np.sqrt((a[:, stop:] ** 2).sum(axis=1))[i[s]]
             rest_j = np.sqrt((b[:, stop:] ** 2).sum(axis=1))[j[s]]
@@ -129,8 +129,8 @@ def compare_tile(
         stays = np.concatenate(out)
         i, j, product = i[stays], j[stays], product[stays]
     keep = [np.empty(0, dtype=bool)]
-    for lo in range(0, len(i), 1 << 16):
-        s = slice(lo, lo + (1 << 16))
+    for lo in range(0, len(i), 1 << 14):
+        s = slice(lo, lo + (1 << 14))
         exact = (left[i[s]] * right[j[s]]).sum(axis=1) / (norms[0][i[s]] * norms[1][j[s]])
         keep.append(exact >= threshold)
     stays = np.concatenate(keep)

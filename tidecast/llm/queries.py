@@ -14,6 +14,7 @@ from tidecast.llm.mixing import count_tokens, domain_of, mix_sources
 from tidecast.llm.packing import pack_documents
 from tidecast.llm.quality import quality_scores
 from tidecast.llm.secrets import secret_report
+from tidecast.llm.substrings import without_repeats
 from tidecast.llm.toxicity import toxicity_scores
 
 
@@ -39,6 +40,11 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op2_suffix_array_dedup")
+def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents"), length=400)
+
+
 @query("op3_packing")
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_with_public_vocabulary(table(spark, sf_dir, "documents"))
