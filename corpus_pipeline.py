@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidecast.llm.common import materialize, table
 from tidecast.llm.exact import drop_exact_copies
+from tidecast.llm.jaccard import drop_near_copies
 from tidecast.llm.quality import keep_good
+from tidecast.llm.queries import mix_documents, pack_with_public_vocabulary
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,9 +25,27 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return drop_exact_copies(docs)
 
 
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles at 0.8 or more."""
+    return drop_near_copies(docs, words=5, percent=80)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources mixed to their target weights; one epoch, so no document comes twice."""
+    return mix_documents(docs, epochs=1).drop("mix_epoch")
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of training sequences of 2048 tokens."""
+    return pack_with_public_vocabulary(docs)
+
+
 STAGES = [
     ("quality", good_quality),
     ("exact", without_copies),
+    ("jaccard", one_of_near_copies),
+    ("mixing", mixed_sources),
+    ("packing", packed),
 ]
 
 #: Fitted scores and near copies are beyond plain SQL.

@@ -29,10 +29,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidecast.llm.common import bounded_batches, materialize
 from tidecast.llm.components import components
@@ -81,6 +83,14 @@ class Shingler:
         return np.unique(mixed)
 
 
+_SHINGLERS: dict[int, Shingler] = {}
+
+
+def _shingler(words: int) -> Shingler:
+    """One per worker process, with the words it has seen."""
+    return _SHINGLERS.setdefault(words, Shingler(words))
+
+
 def _bucket(tokens: np.ndarray) -> np.ndarray:
     return (tokens & np.uint64(BUCKETS - 1)).astype(np.int64)
 
@@ -110,7 +120,7 @@ def _sized(words: int):
 
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One row per document (kind 0), and the token counts of the task by bucket (kind 1)."""
-        shingles, counts = Shingler(words), np.zeros(BUCKETS, dtype=np.int64)
+        shingles, counts = _shingler(words), np.zeros(BUCKETS, dtype=np.int64)
         for b in batches:
             ids, sets = [], []
             for text in b.column(1).to_pylist():
@@ -134,7 +144,7 @@ def _sketched(words: int, percent: int, hot: np.ndarray):
     schema = _columns(SKETCHED)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, seen = Shingler(words), set()
+        shingles, seen = _shingler(words), set()
         for b in batches:
             rows = []
             for text in b.column(0).to_pylist():
@@ -194,7 +204,8 @@ def relatives(sketches: DataFrame, percent: int) -> DataFrame:
         ),
         "jaccard-best",
     )
-    close = (F.least("n", "bn") * 100 >= F.greatest("n", "bn") * percent) & (F.col("sid") != F.col("b"))
+    close = F.least("n", "bn") * 100 >= F.greatest("n", "bn") * percent
+    close &= F.col("sid") != F.col("b")
     return (
         mins.join(best, ["place", "value"])
         .where(close)
@@ -370,7 +381,7 @@ def _sets_of(words: int, shared):
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole sets of the documents that the filter lets through, each once per task."""
-        shingles, seen, packed = Shingler(words), set(), shared.value
+        shingles, seen, packed = _shingler(words), set(), shared.value
         last = len(packed) * 8 - 1
         for b in batches:
             rows = []
@@ -435,10 +446,8 @@ def linked_pairs(
     return materialize(rows.mapInArrow(_overlaps(percent), "a long, b long"), "jaccard-linked")
 
 
-def _set_components(
-    docs: DataFrame, sized: DataFrame, words: int, percent: int
-) -> tuple[DataFrame, DataFrame]:
-    """(sid, component) of linked sets, and the links (a, b) that were found."""
+def _set_components(docs: DataFrame, sized: DataFrame, words: int, percent: int) -> DataFrame:
+    """(node, component) of the set ids that are linked."""
     totals = (
         sized.where("kind = 1").groupBy(F.col("sid").alias("bucket")).agg(F.sum("n").alias("n"))
     )
@@ -468,22 +477,20 @@ def _set_components(
     )
     found = lists.mapInArrow(_candidates(percent), "a long, b long").distinct()
     cross = linked_pairs(docs, materialize(found, "jaccard-candidates"), words, percent)
-    links = stars.union(cross)
-    return components(links, "a", "b"), links
+    return components(stars.union(cross), "a", "b")
 
 
-def near_components(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, n_set_links (links of its set to
-    other sets that were counted; those that relations made needless are not)."""
+def _named_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id, sid, n and component_id of every document."""
     bounded_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sized = materialize(docs.mapInArrow(_sized(words), SIZED), "jaccard-sized")
-    groups, links = _set_components(docs, sized, words, percent)
+    groups = _set_components(docs, sized, words, percent)
     rows = sized.where("kind = 0")
     classes = (
         rows.where("n > 0")
         .groupBy("sid")
-        .agg(F.min("doc_id").alias("low"), F.count("*").alias("size"))
+        .agg(F.min("doc_id").alias("low"))
         .join(groups.withColumnRenamed("node", "sid"), "sid", "left")
         .withColumn("component", F.coalesce("component", "sid"))
     )
@@ -495,7 +502,33 @@ def near_components(docs: DataFrame, words: int = 3, percent: int = 90) -> DataF
         classes.join(lowest, "component").select("sid", "component_id"), "jaccard-named"
     )
     return rows.join(named, "sid", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", "doc_id").alias("component_id"),
+        "doc_id", "sid", "n", F.coalesce("component_id", "doc_id").alias("component_id")
+    )
+
+
+def near_components(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    return _named_components(docs, words, percent).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id"
+    )
+
+
+def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The documents that are the smallest of their component, with all their columns.
+
+    Rows that repeat both an id and a set are one document and stay or go together.
+    """
+    named = _named_components(docs, words, percent)
+    gone = (
+        named.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select(F.col("doc_id").alias("__id"), F.col("sid").alias("__set"))
+        .distinct()
     )
+
+    @F.pandas_udf(T.LongType())
+    def set_of(texts: pd.Series) -> pd.Series:
+        shingles = _shingler(words)
+        return pd.Series([set_id(shingles(t)) for t in texts], dtype="int64")
+
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (set_of("text") == F.col("__set"))
+    return docs.join(materialize(gone, "jaccard-gone"), same, "left_anti")

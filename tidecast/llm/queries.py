@@ -99,7 +99,7 @@ def mix_tree() -> dict:
     }
 
 
-def mix_documents(docs: DataFrame) -> DataFrame:
+def mix_documents(docs: DataFrame, epochs: int = MIX_EPOCHS) -> DataFrame:
     """``docs`` with mix_epoch, one row per selected copy."""
     tokens = docs.select(
         "doc_id", *(c.alias(k) for k, c in mix_tree().items()), count_tokens().alias("n_tokens")
@@ -111,7 +111,7 @@ def mix_documents(docs: DataFrame) -> DataFrame:
         MIX_WEIGHTS,
         count_tokens(),
         MIX_PERCENT,
-        MIX_EPOCHS,
+        epochs,
         MIX_SEED,
     )
 
