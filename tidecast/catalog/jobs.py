@@ -6,6 +6,7 @@ from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidecast import schemas
 from tidecast.catalog import base as b
@@ -76,6 +77,47 @@ def process_load(spark, sf):
     return rounded(tables.read_table(spark, root, tables.LOAD, schemas.LOAD_HOURLY))
 
 
+@query(
+    "J1_process_by_series",
+    """WITH m AS (SELECT event_type AS series, date_trunc('minute', ts) AS start, arg_max(value, event_id) AS v
+       FROM events GROUP BY 1, 2)
+       SELECT series, date_trunc('hour', start) AS time, round(avg(v), 6) AS load_mw FROM m
+       GROUP BY 1, 2 HAVING count(*) = 2""",
+)
+def process_by_series(spark, sf):
+    """Five series in one raw source, at equal hours; each is made of its own readings."""
+    root = fresh_path(spark, "raw")
+    ev = b.read(spark, sf, "events").withColumn("start", F.date_trunc("minute", "ts"))
+    newest = ev.groupBy(F.col("event_type").alias("series"), "start").agg(F.max_by("value", "event_id").alias("v"))
+    readings = newest.select(
+        "series", F.col("start").alias("Interval Start"), F.col("v").alias("Load")
+    )
+    raw.append_raw(raw.split_by_utc_day(readings, "Interval Start"), root, RAW_LOAD, None, _AT)
+    days = ev.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    zone = [T.StructField("series", T.StringType())]
+    process.process(spark, root, *days, b.TYPES, per_hour=2, grain="month", series=zone)
+    schema = T.StructType([*zone, *schemas.LOAD_HOURLY.fields])
+    return rounded(tables.read_table(spark, root, tables.LOAD, schema))
+
+
+@query(
+    "A10_publish_by_series",
+    """SELECT event_type AS series, date_trunc('hour', ts) AS time, round(max(value), 6) AS forecast_mw
+       FROM events GROUP BY 1, 2""",
+)
+def publish_by_series(spark, sf):
+    """Every series is published by a call of its own; none replaces another."""
+    root = fresh_path(spark, "tables")
+    ev = b.read(spark, sf, "events")
+    hourly = ev.groupBy(F.col("event_type").alias("series"), F.date_trunc("hour", "ts").alias("time")).agg(
+        F.max("value").alias("forecast_mw")
+    )
+    hourly = hourly.withColumn("issued_at", F.lit("2024-01-01").cast("timestamp"))
+    for name in [r["series"] for r in hourly.select("series").distinct().collect()]:
+        got = tables.publish(spark, root, hourly.where(F.col("series") == name), "month", ["series"])
+    return rounded(got.select("series", "time", "forecast_mw"))
+
+
 @query(
     "J1_process_counts",
     cte("sload", "iso0")

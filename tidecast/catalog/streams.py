@@ -28,10 +28,14 @@ def _stream(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
 
 
 def _drain(
-    spark: SparkSession, out: DataFrame, done: Callable[[DataFrame], bool] | None = None
+    spark: SparkSession,
+    out: DataFrame,
+    done: Callable[[DataFrame], bool] | None = None,
+    patience: float = 1800,
 ) -> DataFrame:
     """Runs a stream into files until its input is used up (or, where timers add output,
-    until ``done`` says that all of it is there) and reads the files back."""
+    until ``done`` says that all of it is there) and reads the files back. A stream that is not
+    done after ``patience`` seconds is an error, never a shorter result."""
     path, state = fresh_path(spark, "stream-out"), fresh_path(spark, "stream-state")
     before = spark.conf.get(_PROVIDER)
     spark.conf.set(_PROVIDER, _ROCKS)
@@ -43,11 +47,12 @@ def _drain(
             run.awaitTermination()
         else:
             run = writer.trigger(processingTime="0 seconds").start()
-            give_up = time.monotonic() + 120
-            while run.isActive and time.monotonic() < give_up:
+            give_up = time.monotonic() + patience
+            while not (run.recentProgress and done(spark.read.schema(out.schema).parquet(path))):
+                if run.exception() or time.monotonic() > give_up:
+                    run.stop()
+                    raise RuntimeError(f"the stream did not finish: {run.exception()}")
                 time.sleep(0.5)
-                if run.recentProgress and done(spark.read.schema(out.schema).parquet(path)):
-                    break
             run.stop()
     finally:
         spark.conf.set(_PROVIDER, before)
@@ -61,14 +66,20 @@ def _drain(
 )
 def hourly(spark, sf):
     """A closing row far ahead moves the watermark past every real hour, so all come out."""
-    ev = b.read(spark, sf, "events").select(F.col("event_type").alias("series"), F.col("ts").alias("start"), "value")
+    ev = b.read(spark, sf, "events").select(
+        "event_id", F.col("event_type").alias("series"), F.col("ts").alias("start"), "value"
+    )
     closing = ev.agg(
+        F.lit(-1).cast("long").alias("event_id"),
         F.lit("closing").alias("series"),
         (F.max("start") + F.expr("INTERVAL 30 DAYS")).alias("start"),
         F.lit(0.0).alias("value"),
     )
-    readings = _stream(spark, ev.unionByName(closing), "stream-in")
-    out = stream_hourly(readings, per_hour=2, series=["series"], at_least=True)
+    again = ev.unionByName(ev.where(F.col("event_id") % 3 == 0))  # fetched twice, counted once
+    readings = _stream(spark, again.unionByName(closing), "stream-in")
+    out = stream_hourly(
+        readings, per_hour=2, series=["series"], at_least=True, reading_cols=["event_id"]
+    )
     return rounded(_drain(spark, out))
 
 
@@ -78,15 +89,17 @@ def hourly(spark, sf):
        QUALIFY row_number() OVER (PARTITION BY user_id, date_trunc('day', ts) ORDER BY ts DESC, event_id DESC) = 1""",
 )
 def latest(spark, sf):
-    """Revisions of (user, day), newest reading wins; the stream is replayed once more."""
+    """Revisions of (user, day), newest reading wins: first the newer half, then the older one,
+    then everything again."""
     ev = b.read(spark, sf, "events").select(
         "user_id", F.date_trunc("day", "ts").alias("time"), "event_type", "value", "ts", "event_id"
     )
     root = fresh_path(spark, "stream-root")
     keys = ["user_id", "time"]
-    for _ in range(2):
+    older = F.col("event_id") % 2 == 0
+    for part in (ev.where(~older), ev.where(older), ev):
         run = stream_latest(
-            _stream(spark, ev, "stream-in"),
+            _stream(spark, part, "stream-in"),
             root,
             "processed/latest",
             keys,

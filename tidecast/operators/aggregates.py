@@ -60,7 +60,8 @@ def pivot_stations(
 ) -> DataFrame:
     """Latest fetch per (time, station), one ``temp_<station>`` column each.
 
-    A second row for the same cell stops the query instead of being averaged.
+    A second row for the same cell stops the query instead of being averaged, and so does a
+    station that is not listed, instead of being lost.
     """
     keys = [*series, "time", "station"]
     named = raw.select(*keys, no_nan(F.col(column)).alias("_v"), *order_cols)
@@ -69,11 +70,16 @@ def pivot_stations(
 
 def pivot_unique(rows: DataFrame, stations: Cols, series: Cols = (), value_col: str = "_v") -> DataFrame:
     cells = []
+    known = F.coalesce(F.col("station").isin(list(stations)), F.lit(False))
+    stranger = F.max(F.when(~known, F.coalesce("station", F.lit("null"))))
+    odd = F.concat(F.lit("station outside the list: "), stranger)
     for s in stations:
         here = F.col("station") == s
         clash = F.concat(F.lit("two rows for one time and station "), F.lit(s))
-        value = F.when(F.count_if(here) > 1, F.raise_error(clash).cast("double")).otherwise(
-            F.max(F.when(here, F.col(value_col)))
+        value = (
+            F.when(F.count_if(here) > 1, F.raise_error(clash).cast("double"))
+            .when(stranger.isNotNull(), F.raise_error(odd).cast("double"))
+            .otherwise(F.max(F.when(here, F.col(value_col))))
         )
         cells.append(value.alias(f"temp_{s}"))
     return rows.groupBy(*series, "time").agg(*cells)
@@ -96,7 +102,8 @@ def data_fingerprint(df: DataFrame) -> DataFrame:
     Count, sum and xor of row hashes are all order-free and partial-aggregate, so one pass
     with one row per task is shuffled. A map column must be turned to entries first.
     """
-    row = F.xxhash64(*[F.col(c) for c in sorted(df.columns)])
+    # A null leaves the hash as it was, so each column goes in beside its null flag.
+    row = F.xxhash64(*[x for c in sorted(df.columns) for x in (F.col(c).isNull(), F.col(c))])
     return df.agg(
         F.substring(
             F.sha2(

@@ -91,13 +91,18 @@ def validate(df: DataFrame, rules: TableRules) -> DataFrame:
         )
         return F.when(test, found)
 
-    cases = [case(F.col(c).isNull(), "not_nullable", c) for c in df.columns if c in rules.columns]
+    floats = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
+
+    def missing(c: str):
+        return F.col(c).isNull() | F.isnan(c) if c in floats else F.col(c).isNull()
+
+    cases = [case(missing(c), "not_nullable", c) for c in df.columns if c in rules.columns]
     for c in rules.on_the_hour:
         if c in sound:
             cases.append(case(F.col(c) != F.date_trunc("hour", c), "on_the_hour", c))
     for c, (lo, hi) in rules.ranges.items():
         if c in sound:
-            outside = (F.col(c) < lo) | (F.col(c) > hi) | F.isnan(c)
+            outside = ((F.col(c) < lo) | (F.col(c) > hi)) & ~F.isnan(c)
             cases.append(case(outside, f"in_range({lo:g}, {hi:g})", c))
     if cases:
         rows = df.select(F.explode(F.array(*cases)).alias("f")).where("f IS NOT NULL")

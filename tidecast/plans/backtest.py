@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.config import (
@@ -49,7 +49,7 @@ def week_limits(frame: DataFrame, cols: Sequence[str], day_col: str = "target_da
     by_week = frame.groupBy(week).agg(
         *[F.min(c).alias(f"_lo_{c}") for c in cols], *[F.max(c).alias(f"_hi_{c}") for c in cols]
     )
-    before = per_series(()).orderBy("week").rowsBetween(-(2**31), -1)
+    before = per_series(()).orderBy("week").rowsBetween(Window.unboundedPreceding, -1)
     return by_week.select(
         "week",
         *[F.min(f"_lo_{c}").over(before).alias(f"lo_{c}") for c in cols],

@@ -71,15 +71,13 @@ def request_features(
     issue = F.least(scheduled_issue_time(F.col("date"), issue_local, tz), now)
     # ``hour`` comes back as the local hour from the calendar features, with the same value.
     targets = good.withColumn("issue_time", issue).drop("hour")
-    temps = targets.select(
-        "request_id", "time", *[F.col("temperature_c").alias(f"temp_{s}") for s in stations]
-    )
     pairs = targets.select("time", "issue_time").distinct()
     shared = build_features(load, _no_weather(pairs, stations), pairs, lags, "issue_time", stations, (), tz)
     own = [f"temp_{s}" for s in stations]
     feats = shared.drop(*own, "temp_mean")
-    joined = targets.join(feats, ["time", "issue_time"]).join(temps, ["request_id", "time"])
-    return joined.withColumn("temp_mean", F.col("temperature_c")), rejects
+    names = [*own, "temp_mean"]
+    joined = targets.join(feats, ["time", "issue_time"])
+    return joined.withColumns({name: F.col("temperature_c") for name in names}), rejects
 
 
 def _no_weather(pairs: DataFrame, stations: Sequence[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast import schemas
+from tidecast.operators.temporal import latest_wins
 from tidecast.session import materialize
 from tidecast.sources.raw import STAMP, read_or_empty
 
@@ -71,24 +72,39 @@ def upsert(
     new: DataFrame,
     keys: Sequence[str],
     grain: str = "day",
+    order_cols: Sequence[str] = (),
 ) -> DataFrame:
-    """Merges ``new`` (unique per key) into a table partitioned by UTC date of ``time``.
+    """Merges ``new`` into a table partitioned by UTC date of ``time``.
 
     ``grain`` is ``day`` for many series, ``month`` where a day is too little for a file of
-    its own; a table keeps the grain it was made with. A new row replaces the old row of its key; old keys absent from ``new`` stay. Only the
-    dates that ``new`` touches are read and rewritten. Merged partitions are written out in
-    full before the target is touched, so a lost job can simply be run again.
+    its own; a table keeps the grain it was made with. Old keys absent from ``new`` stay. Of
+    several rows of one key, stored or new, the largest in ``order_cols`` stays, whichever came
+    first. Without ``order_cols`` a new row replaces the stored one, and two new rows of one key
+    are an error. Only the dates that ``new`` touches are read and rewritten. Merged partitions
+    are written out in full before the target is touched, so a lost job can simply be run again.
     """
     schema = new.schema
     full = T.StructType([*schema.fields, T.StructField("date", T.DateType())])
-    fresh = materialize(new.withColumn("date", period_of(F.col("time"), grain)), "upsert-new")
+    dated = new.withColumn("date", period_of(F.col("time"), grain))
+    if order_cols:
+        dated = latest_wins(dated, [*keys, "date"], order_cols).select(*full.fieldNames())
+    fresh = materialize(dated, "upsert-new")
+    if not order_cols:
+        clash = fresh.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").first()
+        if clash is not None:
+            raise ValueError(f"{name}: several new rows for {clash.asDict()}")
     span = fresh.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
     path = table_path(root, name)
     if span["lo"] is not None:
         old = read_or_empty(spark, path, full).where(F.col("date").between(span["lo"], span["hi"]))
         touched = old.join(fresh.select("date").distinct(), "date", "left_semi")
-        kept = touched.join(fresh.select(*keys), list(keys), "left_anti")
-        merged = materialize(kept.select(*full.fieldNames()).unionByName(fresh), "upsert-merged")
+        if order_cols:
+            both = touched.select(*full.fieldNames()).unionByName(fresh)
+            both = latest_wins(both, [*keys, "date"], order_cols).select(*full.fieldNames())
+        else:
+            kept = touched.join(fresh.select(*keys), list(keys), "left_anti")
+            both = kept.select(*full.fieldNames()).unionByName(fresh)
+        merged = materialize(both, "upsert-merged")
         # Rebalancing keeps one writer per ordinary date and splits a date that is too big.
         (
             merged.hint("rebalance", "date")
@@ -108,27 +124,45 @@ def overwrite_table(df: DataFrame, root: str, name: str) -> DataFrame:
     return staged
 
 
-def publish(spark: SparkSession, root: str, forecast: DataFrame, grain: str = "day") -> DataFrame:
-    """Adds a forecast to the one table readers use; the last write per (time, issue) wins."""
-    return upsert(spark, root, PUBLISHED, forecast, ["time", "issued_at"], grain)
-
-
-def write_forecast(forecast: DataFrame, root: str) -> None:
-    """One append-only partition per (target day, issue)."""
-    forecast.withColumn("issue", F.date_format("issued_at", STAMP)).write.mode("append").partitionBy(
-        "target_day", "issue"
-    ).parquet(table_path(root, FORECAST_ZONE))
-
-
-def read_forecasts_as_issued(spark: SparkSession, root: str) -> DataFrame:
-    schema = T.StructType([*schemas.FORECASTS.fields, T.StructField("issue", T.StringType())])
-    return read_or_empty(spark, table_path(root, FORECAST_ZONE), schema)
+def publish(
+    spark: SparkSession,
+    root: str,
+    forecast: DataFrame,
+    grain: str = "day",
+    series: Sequence[str] = (),
+) -> DataFrame:
+    """Adds a forecast to the one table readers use; the last write per (series, time, issue)
+    wins, other series stay."""
+    return upsert(spark, root, PUBLISHED, forecast, [*series, "time", "issued_at"], grain)
+
+
+def write_forecast(forecast: DataFrame, root: str, series: Sequence[str] = ()) -> None:
+    """One partition per (series, target day, issue); a job that is run again with the stamp of
+    an issue rewrites that partition and no other."""
+    (
+        forecast.withColumn("issue", F.date_format("issued_at", STAMP))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*series, "target_day", "issue")
+        .parquet(table_path(root, FORECAST_ZONE))
+    )
 
 
-def forecast_exists(spark: SparkSession, root: str, day: date) -> bool:
-    """Whether any issue for ``day`` is stored; only that partition is looked at."""
-    issued = read_forecasts_as_issued(spark, root)
-    return not issued.where(F.col("target_day") == F.lit(day)).select("issue").isEmpty()
+def read_forecasts_as_issued(
+    spark: SparkSession, root: str, series: Sequence[T.StructField] = ()
+) -> DataFrame:
+    fields = [*series, *schemas.FORECASTS.fields, T.StructField("issue", T.StringType())]
+    return read_or_empty(spark, table_path(root, FORECAST_ZONE), T.StructType(fields))
+
+
+def forecast_exists(spark: SparkSession, root: str, day: date, **series: str) -> bool:
+    """Whether any issue for ``day`` (of the named series) is stored; only those partitions are
+    looked at."""
+    fields = [T.StructField(name, T.StringType()) for name in series]
+    issued = read_forecasts_as_issued(spark, root, fields).where(F.col("target_day") == F.lit(day))
+    for name, value in series.items():
+        issued = issued.where(F.col(name) == value)
+    return not issued.select("issue").isEmpty()
 
 
 def _append(df: DataFrame, root: str, name: str) -> None:

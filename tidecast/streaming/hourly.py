@@ -10,7 +10,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidecast.config import READINGS_PER_HOUR
 from tidecast.functions.scalars import no_nan
-from tidecast.operators.temporal import latest_wins
 from tidecast.sources import tables
 
 
@@ -22,14 +21,19 @@ def stream_hourly(
     start_col: str = "start",
     value_col: str = "value",
     at_least: bool = False,
+    reading_cols: Sequence[str] = (),
 ) -> DataFrame:
     """Tumbling one-hour means of a stream; an hour comes out once the watermark passes it.
 
-    State is one running mean per open (series, hour). A revision after that is too late for
-    this form; ``stream_latest`` takes revisions of any age.
+    A reading, named by ``reading_cols`` (default: series and start), counts once however often
+    it is fetched within the watermark. State is one key per open reading and one running mean
+    per open (series, hour). A revision with another value is for ``stream_latest``, which takes
+    revisions of any age.
     """
+    keys = list(reading_cols) or [*series, start_col]
     timed = readings.withColumn("_v", no_nan(F.col(value_col))).withWatermark(start_col, watermark)
-    means = timed.groupBy(*series, F.window(start_col, "1 hour").alias("_w")).agg(
+    once = timed.dropDuplicatesWithinWatermark(keys)
+    means = once.groupBy(*series, F.window(start_col, "1 hour").alias("_w")).agg(
         F.avg("_v").alias("load_mw"), F.count("_v").alias("_n")
     )
     enough = F.col("_n") >= per_hour if at_least else F.col("_n") == per_hour
@@ -43,16 +47,35 @@ def stream_latest(
     keys: Sequence[str],
     order_cols: Sequence[str],
     checkpoint: str,
-    reshape: Callable[[DataFrame], DataFrame] = lambda df: df,
+    reshape: Callable[[DataFrame], DataFrame] | None = None,
     grain: str = "day",
+    out_keys: Sequence[str] = (),
     **trigger,
 ) -> StreamingQuery:
-    """Upserts every micro-batch into a table: newest row per key within the batch, and the
-    batch wins over the table. A batch that is replayed leaves the same table."""
+    """Upserts every micro-batch into a table: the newest revision per key stays, be it stored
+    or new, so the order of arrival does not matter and a replayed batch changes nothing.
+
+    With ``reshape`` the revisions land in ``<name>_landed`` and every hour that a batch touches
+    is made anew from all its landed rows, so an hour whose readings come in several batches is
+    whole in the end; the result is keyed by ``out_keys`` (default: ``keys``).
+    """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        newest = reshape(latest_wins(batch, keys, order_cols))
-        tables.upsert(batch.sparkSession, root, name, newest, keys, grain)
+        spark = batch.sparkSession
+        if reshape is None:
+            tables.upsert(spark, root, name, batch, keys, grain, order_cols)
+            return
+        batch.persist()
+        landed = tables.upsert(spark, root, f"{name}_landed", batch, keys, grain, order_cols)
+        hour = F.date_trunc("hour", "time")
+        span = batch.agg(F.min(hour).alias("lo"), F.max(hour).alias("hi")).first()
+        if span["lo"] is not None:
+            end = F.lit(span["hi"]) + F.expr("INTERVAL 1 HOUR")
+            near = landed.where((F.col("time") >= F.lit(span["lo"])) & (F.col("time") < end))
+            touched = batch.select(hour.alias("_hour")).distinct()
+            rows = near.withColumn("_hour", hour).join(touched, "_hour", "left_semi").drop("_hour")
+            tables.upsert(spark, root, name, reshape(rows), out_keys or keys, grain)
+        batch.unpersist()
 
     return (
         raw.writeStream.foreachBatch(merge)
