@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.catalog import base as b
@@ -227,41 +228,51 @@ def complete_days(spark, sf):
     return temporal.complete_days(b.type_days(spark, sf), load, series=("series",))
 
 
-@query(
-    "C11_missing_hours",
-    """WITH p AS (SELECT DISTINCT date_trunc('hour', ts) AS time FROM events WHERE event_type = 'error'),
-       s AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 23:00:00', INTERVAL 1 HOUR))
-       AS time) SELECT time FROM s ANTI JOIN p USING (time)""",
-)
+def _order_hours(spark, sf) -> DataFrame:
+    """Hours with an order; the others of the table's days are missing."""
+    return b.read(spark, sf, "orders").select(F.date_trunc("hour", "o_orderdate").alias("time")).distinct()
+
+
+def _day_bounds(df: DataFrame, col: str = "time") -> tuple[str, str]:
+    """First day and the day after the last one, as instants."""
+    lo, hi = df.agg(F.to_date(F.min(col)), F.date_add(F.to_date(F.max(col)), 1)).first()
+    return f"{lo}T00:00:00Z", f"{hi}T00:00:00Z"
+
+
+_MISSING_SQL = """p AS (SELECT DISTINCT date_trunc('hour', o_orderdate) AS time FROM orders),
+       s AS (SELECT unnest(generate_series(min(CAST(time AS DATE))::TIMESTAMP,
+       max(CAST(time AS DATE))::TIMESTAMP + INTERVAL 23 HOUR, INTERVAL 1 HOUR)) AS time FROM p),
+       m AS (SELECT time FROM s ANTI JOIN p USING (time))"""
+
+
+@query("C11_missing_hours", f"WITH {_MISSING_SQL} SELECT time FROM m")
 def missing_hours(spark, sf):
-    errors = b.hourly_by_type(spark, sf).where("series = 'error'")
-    return quality.missing_hours(errors, "2024-01-01T00:00:00Z", "2024-01-31T00:00:00Z")
+    hours = _order_hours(spark, sf)
+    return quality.missing_hours(hours, *_day_bounds(hours))
 
 
 @query(
     "C11_missing_hours_by_series",
     cte("sload")
     + """, k AS (SELECT DISTINCT series FROM sload),
-         s AS (SELECT series, unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 23:00:00',
-         INTERVAL 1 HOUR)) AS time FROM k) SELECT series, time FROM s ANTI JOIN sload USING (series, time)""",
+         d AS (SELECT min(CAST(time AS DATE))::TIMESTAMP AS lo, max(CAST(time AS DATE))::TIMESTAMP AS hi FROM sload),
+         s AS (SELECT series, unnest(generate_series(lo, hi + INTERVAL 23 HOUR, INTERVAL 1 HOUR)) AS time FROM k, d)
+         SELECT series, time FROM s ANTI JOIN sload USING (series, time)""",
 )
 def missing_hours_by_series(spark, sf):
     load = b.hourly_by_type(spark, sf)
-    return quality.missing_hours(load, "2024-01-01T00:00:00Z", "2024-01-31T00:00:00Z", ["series"])
+    return quality.missing_hours(load, *_day_bounds(load), ["series"])
 
 
 @query(
     "C11_missing_report",
-    """WITH p AS (SELECT DISTINCT date_trunc('hour', ts) AS time FROM events WHERE event_type = 'error'),
-       s AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 23:00:00', INTERVAL 1 HOUR))
-       AS time), m AS (SELECT time FROM s ANTI JOIN p USING (time))
-       SELECT count(*) AS missing,
+    f"""WITH {_MISSING_SQL} SELECT count(*) AS missing,
        coalesce(array_to_string(list_sort(list(strftime(time, '%Y-%m-%d %H:%M:%S')))[1:5], ', '), '')
        AS first_missing FROM m""",
 )
 def missing_report(spark, sf):
-    errors = b.hourly_by_type(spark, sf).where("series = 'error'")
-    missing = quality.missing_hours(errors, "2024-01-01T00:00:00Z", "2024-01-31T00:00:00Z")
+    hours = _order_hours(spark, sf)
+    missing = quality.missing_hours(hours, *_day_bounds(hours))
     text = F.transform("first", lambda t: F.date_format(t, "yyyy-MM-dd HH:mm:ss"))
     return quality.missing_report(missing).select("missing", F.array_join(text, ", ").alias("first_missing"))
 
@@ -279,15 +290,15 @@ def members(spark, sf):
 
 @query(
     "C13_align_inner",
-    cte("sload")
-    + """SELECT a.time, round(a.load_mw, 6) AS actual_mw, round(f.load_mw, 6) AS forecast_mw
-         FROM sload a JOIN sload f ON a.time = f.time AND a.series = 'click' AND f.series = 'view'""",
+    """SELECT time, round(actual_mw, 4) AS actual_mw, round(forecast_mw, 4) AS forecast_mw FROM
+       (SELECT o_orderdate AS time, avg(o_totalprice) AS actual_mw FROM orders GROUP BY 1) JOIN
+       (SELECT l_shipdate AS time, avg(l_extendedprice) AS forecast_mw FROM lineitem GROUP BY 1) USING (time)""",
 )
 def align_inner(spark, sf):
-    load = b.hourly_by_type(spark, sf)
-    actual = load.where("series = 'click'").select("time", F.col("load_mw").alias("actual_mw"))
-    forecast = load.where("series = 'view'").select("time", F.col("load_mw").alias("forecast_mw"))
-    return rounded(temporal.align_inner(actual, forecast))
+    orders, items = b.read(spark, sf, "orders"), b.read(spark, sf, "lineitem")
+    actual = orders.groupBy(F.col("o_orderdate").alias("time")).agg(F.avg("o_totalprice").alias("actual_mw"))
+    forecast = items.groupBy(F.col("l_shipdate").alias("time")).agg(F.avg("l_extendedprice").alias("forecast_mw"))
+    return rounded(temporal.align_inner(actual, forecast), 4)
 
 
 @query(

@@ -1,9 +1,9 @@
 """Running totals and exact quantiles over values, without a task per group.
 
 Two-sample statistics need the values of a group in order. A plain window per group would
-put a whole feature in one task, so equal values are counted first, each group is cut into
-value slices, and running totals are taken inside slices and shifted by the totals of the
-slices before.
+put a whole feature in one task, so equal values are counted first, the counts are
+range-partitioned by group and value into as many ranges as their number asks for, and running
+totals are taken inside ranges and shifted by the totals of the ranges before.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidecast.session import materialize
 
-SLICES = 64
+RANGE_ROWS = 200_000
 
 
 def ordered_counts(
@@ -23,13 +23,14 @@ def ordered_counts(
     by: Sequence[str],
     value_col: str,
     weights: Sequence[str],
-    slices: int = SLICES,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """One row per (group, value) with, per weight w: ``w`` its sum, ``cum_w`` the running
     total up to and including the value, ``total_w`` the total of the group.
 
-    The slice limits come from a sketch, which only balances the work: any limits give the
-    same totals. Because a sketch may differ when re-run, counts and slices are written out
+    A window task holds about ``range_rows`` values however large the table is. The limits of
+    the ranges come from a sample, which only balances the work: any limits give the same
+    totals. Because a sample may differ when re-run, counts and range numbers are written out
     once before they are used twice. The result is written out too: statistics take several
     passes over it, and none of them should sort again.
     """
@@ -39,11 +40,10 @@ def ordered_counts(
         .groupBy(*by, value_col)
         .agg(*[F.sum(w).alias(w) for w in weights])
     )
-    at = [i / slices for i in range(1, slices)]
-    limits = counts.groupBy(*by).agg(F.percentile_approx(value_col, at, 1000).alias("_limits"))
-    slice_no = F.size(F.filter("_limits", lambda e: e < F.col(value_col)))
-    joined = counts.join(limits, by) if by else counts.join(limits)
-    sliced = materialize(joined.withColumn("_slice", slice_no).drop("_limits"), "ordered-counts")
+    counts = materialize(counts, "value-counts")
+    ranges = max(1, -(-counts.count() // range_rows))
+    placed = counts.repartitionByRange(ranges, *by, value_col)
+    sliced = materialize(placed.withColumn("_slice", F.spark_partition_id()), "ordered-counts")
 
     before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_slice")
     before = before.rowsBetween(Window.unboundedPreceding, -1)

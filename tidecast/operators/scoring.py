@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidecast.config import LOCAL_TZ, MIN_SCORED_DAYS
 from tidecast.functions.timeline import local_midnight, target_hours
 from tidecast.operators.temporal import align_inner, forecast_in_force, per_series
+from tidecast.session import materialize
 
 Cols = Sequence[str]
 ERROR_COLUMNS = ["model_mape", "naive_mape", "iso_day_ahead_mape", "iso_same_day_mape"]
@@ -53,11 +54,13 @@ def score_days(
     """
     day = [*series, "target_day"]
     hour = [*day, "time"]
-    chosen = forecast_in_force(forecasts, tz, series)
+    # Used three times below, and by far smaller than the issues it is chosen from.
+    chosen = materialize(forecast_in_force(forecasts, tz, series), "score-chosen")
     issue = chosen.groupBy(*day).agg(
         F.max("issued_at").alias("issued_at"),
         F.min(F.when(F.col("model_version").isNotNull(), F.struct("time", "model_version"))).alias("_mv"),
     )
+    issue = materialize(issue, "score-issue")
     wanted = target_hours(issue.select(*day, "issued_at"), "target_day", tz)
     actual = load.select(*series, "time", F.col("load_mw").alias("_actual"), F.lit(1).alias("_hit"))
     fair = (F.col("vintage") == "day_ahead") & (F.col("forecast_time") <= F.col("issued_at"))

@@ -18,6 +18,7 @@ from tidecast.config import (
 )
 from tidecast.operators.drift import check_drift, context_table, two_samples
 from tidecast.operators.temporal import per_series
+from tidecast.session import materialize
 
 _WEEK = 7
 
@@ -65,10 +66,15 @@ def drift_backtest(
 ) -> DataFrame:
     """Per week with a full reference year: largest PSI, shift, share, and which rules fire."""
     temps = temp_columns(stations)
+    needed = list(dict.fromkeys([day_col, *temps, *features]))
+    frame = materialize(frame.select(*needed), "backtest-frame")  # read several times below
     reference, current = week_samples(frame, day_col)
-    have = reference.select("week").distinct()
-    current = current.join(have, "week", "left_semi")
-    reference = reference.join(current.select("week").distinct(), "week", "left_semi")
+    # Both kinds of week follow from the distinct days alone: a few rows per year.
+    served, own = week_samples(frame.select(day_col).distinct(), day_col)
+    weeks = served.select("week").join(own.select("week").distinct(), "week", "left_semi")
+    weeks = materialize(weeks.distinct(), "backtest-weeks")
+    current = current.join(weeks, "week", "left_semi")
+    reference = reference.join(weeks, "week", "left_semi")
     checks = check_drift(reference, current, week_limits(frame, temps, day_col), stations, ["week"])
     context = context_table(two_samples(reference, current, features, ["week"]), ["week"])
     largest = context.groupBy("week").agg(F.max("psi").alias("max_psi"))

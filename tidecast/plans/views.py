@@ -122,10 +122,12 @@ def accuracy_view(errors: DataFrame) -> DataFrame:
 def drift_view(history: DataFrame) -> DataFrame:
     """Drift checks in time order; ``kind`` tells real checks from drills, ``latest`` marks
     the newest real one."""
-    real_first = per_series(()).orderBy(F.col("drill").asc(), F.desc("checked_at"), F.desc("day"))
-    ranked = history.withColumn("_rn", F.row_number().over(real_first))
-    latest = (F.col("_rn") == 1) & ~F.col("drill")
-    return ranked.select(
+    newest = history.where(~F.col("drill")).agg(F.max(F.struct("checked_at", "day")).alias("_newest"))
+    moment = F.struct("checked_at", "day")
+    # An equi-join with one row: no task ever holds the whole history.
+    marked = history.join(newest, moment == F.col("_newest"), "left")
+    latest = F.col("_newest").isNotNull() & ~F.col("drill")
+    return marked.select(
         "day",
         "checked_at",
         F.when(F.col("drill"), "drill").otherwise("real").alias("kind"),
