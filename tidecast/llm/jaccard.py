@@ -10,11 +10,14 @@ start. Then, in this order:
   ``n - ceil(t n) + 1`` tokens of a set are indexed with their positions, so linked sets share an
   indexed token. A list is cut into blocks by position; a block whose best position cannot leave
   enough tokens for the required overlap is skipped, and so is a pair whose sets are related.
-* The remaining pairs are decided by their exact overlap.
+* The remaining pairs are first bounded by parity bitmaps (about one bit a token, whose differences
+  are differences of the sets) and then decided by their exact overlap.
 
-Frequency is taken from counts of all tokens in ``2^15`` hash buckets: only buckets with eight times
-the mean are kept (at most 4096 of them), which orders frequent tokens last and bounds every other
-list by a 4096th of all rows. Lists of frequent tokens are dealt over tiles of a salt.
+Frequency is counted over all documents: stretches of four million tokens report the tokens they
+hold more than once, and the sums order the ``FREQUENT`` most frequent tokens last, which is all
+that is broadcast (1.2 MB). A token in a share of 1/4000 of the documents or more does not escape
+that; the order only decides how many candidates there are, never the result. Lists that may hold
+more than a 256th of the documents are dealt over tiles of a salt.
 
 Only components and classes are returned, never all pairs of a class.
 
@@ -39,8 +42,9 @@ from pyspark.sql import types as T
 from tidecast.llm.common import bounded_batches, materialize
 from tidecast.llm.components import components
 
-BUCKETS = 1 << 15
-HOT_FACTOR = 8
+FREQUENT = 1 << 17
+LEAST_COUNT = 16
+STRETCH = 1 << 22
 MIN_HASHES = 4
 TILES = 8
 SMALL_LIST = 48
@@ -91,10 +95,6 @@ def _shingler(words: int) -> Shingler:
     return _SHINGLERS.setdefault(words, Shingler(words))
 
 
-def _bucket(tokens: np.ndarray) -> np.ndarray:
-    return (tokens & np.uint64(BUCKETS - 1)).astype(np.int64)
-
-
 def set_id(tokens: np.ndarray) -> int:
     """64-bit signed id of a whole set."""
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
@@ -115,36 +115,73 @@ def _batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     )
 
 
+SIZED = "kind int, doc_id long, sid long, n long"
+SKETCHED = "sid long, n int, rare int, mins binary, bits binary, prefix binary, hot binary"
+
+
 def _sized(words: int):
     schema = _columns(SIZED)
 
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One row per document (kind 0), and the token counts of the task by bucket (kind 1)."""
-        shingles, counts = _shingler(words), np.zeros(BUCKETS, dtype=np.int64)
+        """One row per document (kind 0), and tokens that occur again in a stretch (kind 1)."""
+        shingles, seen, held, size = _shingler(words), set(), [], 0
+
+        def again():
+            tokens, counts = np.unique(np.concatenate(held), return_counts=True)
+            some = counts > 1
+            k = int(some.sum())
+            return _batch(
+                schema,
+                np.ones(k, np.int32),
+                [None] * k,
+                tokens[some].view(np.int64),
+                counts[some],
+            )
+
         for b in batches:
-            ids, sets = [], []
+            ids, sizes = [], []
             for text in b.column(1).to_pylist():
                 tokens = shingles(text)
-                counts += np.bincount(_bucket(tokens), minlength=BUCKETS)
-                sets.append(len(tokens))
+                sizes.append(len(tokens))
                 ids.append(set_id(tokens))
-            yield _batch(schema, np.zeros(len(ids), np.int32), b.column(0), ids, sets)
-        some = np.flatnonzero(counts)
-        yield _batch(schema, np.ones(len(some), np.int32), [None] * len(some), some, counts[some])
+                if ids[-1] not in seen:  # equal sets count once, as they are compared once
+                    if len(seen) < _REMEMBERED:
+                        seen.add(ids[-1])
+                    held.append(tokens)
+                    size += len(tokens)
+            yield _batch(schema, np.zeros(len(ids), np.int32), b.column(0), ids, sizes)
+            if size >= STRETCH:
+                yield again()
+                held, size = [], 0
+        if size:
+            yield again()
 
     return sized
 
 
-SIZED = "kind int, doc_id long, sid long, n long"
-SKETCHED = "sid long, n int, rare int, mins binary, prefix binary, hot binary"
+def parity_bits(tokens: np.ndarray) -> bytes:
+    """One bit per range of hashes, set if the set has an odd number of tokens there; as many
+    ranges as tokens, rounded up to a power of two (at least 64)."""
+    power = max(6, int(len(tokens) - 1).bit_length())
+    at = (tokens >> np.uint64(64 - power)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=1 << power) & 1).tobytes()
 
 
-def _sketched(words: int, percent: int, hot: np.ndarray):
-    """Per distinct set of a task: size, rare tokens, minimum hashes and indexed tokens."""
+def least_difference(x: bytes, y: bytes) -> int:
+    """A lower bound of the tokens that only one of two sets has, from their parity bits."""
+    a, b = sorted((np.unpackbits(np.frombuffer(z, dtype=np.uint8)) for z in (x, y)), key=len)
+    while len(b) > len(a):
+        b = b[0::2] ^ b[1::2]
+    return int((a ^ b).sum())
+
+
+def _sketched(words: int, percent: int, shared):
+    """Per distinct set of a task: size, rare tokens, minimum hashes, bits and indexed tokens."""
     schema = _columns(SKETCHED)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, seen = _shingler(words), set()
+        frequent, levels = shared.value
         for b in batches:
             rows = []
             for text in b.column(0).to_pylist():
@@ -153,7 +190,8 @@ def _sketched(words: int, percent: int, hot: np.ndarray):
                     continue
                 if len(seen) < _REMEMBERED:
                     seen.add(sid)
-                level = hot[_bucket(tokens)]
+                at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
+                level = np.where(frequent[at] == tokens, levels[at], 0).astype(np.uint8)
                 keep = prefix_length(len(tokens), percent)
                 order = np.argsort(level, kind="stable")[:keep]  # tokens are sorted by hash
                 mins = [(tokens * m).min() for m in _MULTIPLIERS[:MIN_HASHES]]
@@ -163,8 +201,9 @@ def _sketched(words: int, percent: int, hot: np.ndarray):
                         len(tokens),
                         int((level == 0).sum()),
                         np.array(mins, dtype="<u8").tobytes(),
+                        parity_bits(tokens),
                         tokens[order].astype("<u8").tobytes(),
-                        level[order].astype(np.uint8).tobytes(),
+                        level[order].tobytes(),
                     )
                 )
             if rows:
@@ -220,8 +259,9 @@ def relatives(sketches: DataFrame, percent: int) -> DataFrame:
 POSTINGS = "token long, tile int, sid long, n int, place int, star long"
 
 
-def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Indexed tokens with positions; frequent tokens go to every tile of the set's salt."""
+def _postings(batches: Iterator[pa.RecordBatch], tiled: int) -> Iterator[pa.RecordBatch]:
+    """Indexed tokens with positions; those of level ``tiled`` or more go to every tile of the
+    set's salt."""
     schema = _columns(POSTINGS)
     for b in batches:
         d = b.to_pydict()
@@ -231,7 +271,7 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = np.repeat(np.arange(len(length)), length)
         place = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
         token = np.frombuffer(b"".join(d["prefix"]), dtype="<i8")
-        hot = np.frombuffer(b"".join(d["hot"]), dtype=np.uint8) > 0
+        hot = np.frombuffer(b"".join(d["hot"]), dtype=np.uint8) >= tiled
         tile = np.zeros(len(row), dtype=np.int32)
         if hot.any():
             salt = np.array(d["sid"])[row] % TILES
@@ -423,11 +463,42 @@ def _overlaps(percent: int):
     return overlaps
 
 
+def _bounded(percent: int):
+    schema = _columns("a long, b long")
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs whose parity bits do not rule them out."""
+        for b in batches:
+            rows = []
+            for a, other, n, m, x, y in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                need = -(-percent * (n + m) // (100 + percent))
+                if least_difference(x, y) <= n + m - 2 * need:
+                    rows.append((a, other))
+            if rows:
+                yield _batch(schema, *zip(*rows, strict=True))
+
+    return bounded
+
+
 def linked_pairs(
-    docs: DataFrame, pairs: DataFrame, words: int, percent: int, salts: int = 16
+    docs: DataFrame,
+    sketches: DataFrame,
+    pairs: DataFrame,
+    words: int,
+    percent: int,
+    salts: int = 16,
 ) -> DataFrame:
     """The pairs (a, b) of set ids whose sets reach the threshold, by exact overlap."""
     spark = docs.sparkSession
+    one = sketches.select(F.col("sid").alias("a"), F.col("n").alias("an"), F.col("bits").alias("x"))
+    two = sketches.select(F.col("sid").alias("b"), F.col("n").alias("bn"), F.col("bits").alias("y"))
+    pairs = materialize(
+        pairs.join(one, "a")
+        .join(two, "b")
+        .select("a", "b", "an", "bn", "x", "y")
+        .mapInArrow(_bounded(percent), "a long, b long"),
+        "jaccard-bounded",
+    )
     ids = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid")))
     shared = spark.sparkContext.broadcast(id_filter(ids, "sid"))
     sets = docs.select("text").mapInArrow(_sets_of(words, shared), "sid long, tokens binary")
@@ -446,23 +517,35 @@ def linked_pairs(
     return materialize(rows.mapInArrow(_overlaps(percent), "a long, b long"), "jaccard-linked")
 
 
+def _level(count: int) -> int:
+    """Place of a frequent token in the order: four steps per doubling."""
+    return min(250, int(np.log2(count) * 4))
+
+
 def _set_components(docs: DataFrame, sized: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, component) of the set ids that are linked."""
-    totals = (
-        sized.where("kind = 1").groupBy(F.col("sid").alias("bucket")).agg(F.sum("n").alias("n"))
+    found = (
+        sized.where("kind = 1")
+        .groupBy(F.col("sid").alias("token"))
+        .agg(F.sum("n").alias("n"))
+        .where(F.col("n") >= LEAST_COUNT)
+        .orderBy(F.desc("n"), "token")
+        .limit(FREQUENT)
+        .collect()
     )
-    mean = (totals.agg(F.sum("n")).first()[0] or 0) / BUCKETS
-    hot = np.zeros(BUCKETS, dtype=np.int8)
-    for r in totals.where(F.col("n") > HOT_FACTOR * max(mean, 1)).collect():  # at most 4096 rows
-        hot[r["bucket"]] = min(120, int(np.log2(r["n"] / max(mean, 1)) * 4))
-    sketches = docs.select("text").mapInArrow(_sketched(words, percent, hot), SKETCHED)
+    frequent = np.array([r["token"] for r in found] + [0], dtype=np.int64).view(np.uint64)
+    levels = np.array([_level(r["n"]) for r in found] + [0], dtype=np.uint8)
+    order = np.argsort(frequent, kind="stable")
+    shared = docs.sparkSession.sparkContext.broadcast((frequent[order], levels[order]))
+    tiled = _level(max(4096, sized.where("kind = 0").count() // 256))
+    sketches = docs.select("text").mapInArrow(_sketched(words, percent, shared), SKETCHED)
     others = [c for c in (x.split()[0] for x in SKETCHED.split(", ")) if c != "sid"]
     sketches = materialize(
         sketches.groupBy("sid").agg(F.first(F.struct(*others)).alias("s")).select("sid", "s.*"),
         "jaccard-sketches",
     )
     near = materialize(relatives(sketches, percent), "jaccard-relatives")
-    stars = linked_pairs(docs, near, words, percent)
+    stars = linked_pairs(docs, sketches, near, words, percent)
     star_of = stars.select(F.col("a").alias("sid"), F.col("b").alias("star")).union(
         stars.select("b", "b").distinct()
     )
@@ -471,12 +554,13 @@ def _set_components(docs: DataFrame, sized: DataFrame, words: int, percent: int)
         "sid", "n", "prefix", "hot", F.coalesce("star", "sid").alias("star")
     )
     lists = (
-        indexed.mapInArrow(_postings, POSTINGS)
+        indexed.mapInArrow(lambda b: _postings(b, tiled), POSTINGS)
         .repartition("token", "tile")
         .sortWithinPartitions("token", "tile", "n")
     )
     found = lists.mapInArrow(_candidates(percent), "a long, b long").distinct()
-    cross = linked_pairs(docs, materialize(found, "jaccard-candidates"), words, percent)
+    found = materialize(found, "jaccard-candidates")
+    cross = linked_pairs(docs, sketches, found, words, percent)
     return components(stars.union(cross), "a", "b")
 
 
