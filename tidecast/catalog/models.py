@@ -239,9 +239,10 @@ def record_decision(spark, sf):
     root = fresh_path(spark, "tables")
     event_table(spark, sf, root)
     at = F.lit(_AT).cast("timestamp")
-    gate.record_decision(spark, root, gate.GateResult("rejected", "too weak", "5", "3"), at)
-    gate.record_decision(spark, root, gate.GateResult("promoted", "better", "6", "3"), at)
-    gate.record_decision(spark, root, gate.GateResult("skipped", "same", "6", "6"), at)
+    made = [("5", "3", "rejected", "too weak"), ("6", "3", "promoted", "better"), ("6", "6", "skipped", "same")]
+    for fields in made:
+        decision = spark.createDataFrame([(*fields, *[None] * 5)], schemas.GATE_DECISION)
+        gate.record_decision(spark, root, decision, at)
     return _log_out(spark, root)
 
 

@@ -68,7 +68,11 @@ class TrainConfig:
 
     @staticmethod
     def from_json(text: str) -> TrainConfig:
-        raw = json.loads(text)
+        return TrainConfig.from_dict(json.loads(text))
+
+    @staticmethod
+    def from_dict(stored: dict) -> TrainConfig:
+        raw = dict(stored)
         for key in ("lag_hours", "stations", "load_range", "temp_range"):
             raw[key] = tuple(raw[key])
         return TrainConfig(**raw)

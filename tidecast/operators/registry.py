@@ -83,29 +83,16 @@ def gate_reason(
     production_label: Column,
     margin: float = GATE_MARGIN,
 ) -> Column:
-    needed = production * (1 - margin)
-    pct = F.lit(f"{margin:.0%}")
-    return (
-        F.when(
-            candidate >= naive,
-            F.format_string(
-                "does not beat the naive baseline (%.2f%% vs %.2f%%)", candidate, naive
-            ),
-        )
-        .when(
-            candidate <= needed,
-            F.format_string(
-                "MAPE %.2f%% vs production v%s %.2f%% (needed <= %.2f%%, %s margin)",
-                candidate, production_label, production, needed, pct,
-            ),
-        )
-        .otherwise(
-            F.format_string(
-                "MAPE %.2f%% vs production v%s %.2f%%: not %s better (needed <= %.2f%%)",
-                candidate, production_label, production, pct, needed,
-            )
-        )
+    """What was compared: the seasonal baseline if that was not beaten, else the bar that a
+    version in production sets."""
+    bar = production * (1 - margin)
+    side = F.when(candidate <= bar, F.lit("within")).otherwise(F.lit("above"))
+    against_baseline = F.format_string("error %.2f%% against a seasonal baseline of %.2f%%", candidate, naive)
+    against_production = F.format_string(
+        "error %.2f%% is %s the bar of %.2f%% set by v%s at %.2f%%",
+        candidate, side, bar, production_label, production,
     )
+    return F.when(candidate >= naive, against_baseline).otherwise(against_production)
 
 
 def timeline(events: DataFrame) -> DataFrame:

@@ -235,12 +235,20 @@ def register(spark: SparkSession, root: str, model: PipelineModel, meta: dict, n
 
 
 def promote(
-    spark: SparkSession, root: str, version: str, reason: str, at=None, event: str = "promoted", **fields
+    spark: SparkSession,
+    root: str,
+    version: str,
+    reason: str,
+    at=None,
+    event: str = "promoted",
+    source: str = "",
+    **fields,
 ) -> None:
-    """Moves production to ``version`` and records why and what it replaced."""
+    """Moves production to ``version`` and records why, on whose word, and what it replaced."""
     now = registry.production_version(tables.read_events(spark, root)).first()
     previous = now["version"] if now else None
-    tags = {"promotion_reason": reason, "previous_production": previous or "none"}
+    told = f"{source}: {reason}" if source else reason
+    tags = {"promotion_reason": told, "previous_production": previous or "none"}
     tables.append_tags(spark, root, version, tags, at)
     tables.append_event(
         spark, root, event, version, reason, at, **{"from_version": previous, **fields}

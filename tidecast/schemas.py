@@ -77,6 +77,17 @@ MODEL_EVENTS = _table(
     holdout_end=_S,
     seq=_L,
 )
+GATE_DECISION = _table(
+    candidate=_S,
+    production=_S,
+    decision=_S,
+    reason=_S,
+    candidate_mape=_D,
+    production_mape=_D,
+    naive_mape=_D,
+    holdout_start=_S,
+    holdout_end=_S,
+)
 MODEL_VERSIONS = _table(version=_S, model_id=_S, model_path=_S, metadata=_S, tags=T.MapType(_S, _S))
 MODEL_TAGS = _table(version=_S, tag=_S, value=_S, at=_TS, seq=_L)
 ALERT_STATE = _table(
