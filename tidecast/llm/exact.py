@@ -50,13 +50,23 @@ def _marker(bits: int):
     schema = pa.schema([("page", pa.int32()), ("once", pa.binary()), ("again", pa.binary())])
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(0, dtype=np.int64)
-        again = np.zeros(0, dtype=np.int64)
+        seen = again = np.zeros(0, dtype=np.int64)
+        held, size = [], 0
+
+        def merged():
+            p, n = np.unique(np.concatenate(held), return_counts=True)
+            twice = np.concatenate([p[n > 1], np.intersect1d(p, seen, assume_unique=True)])
+            return np.union1d(seen, p), np.union1d(again, twice)
+
         for b in batches:
             if b.num_rows:
-                p, n = np.unique(_positions(b.column(0).to_pylist(), bits), return_counts=True)
-                again = np.union1d(again, np.concatenate([p[n > 1], np.intersect1d(p, seen)]))
-                seen = np.union1d(seen, p)
+                held.append(_positions(b.column(0).to_pylist(), bits).ravel())
+                size += len(held[-1])
+            if size >= max(1 << 20, len(seen)):
+                seen, again = merged()
+                held, size = [], 0
+        if size:
+            seen, again = merged()
         if not len(seen):
             return
         twice = np.isin(seen, again)
