@@ -51,6 +51,12 @@ def complete_hours(load: DataFrame, temps: DataFrame, cols: list[str]) -> DataFr
     return filled.select("time", "load_mw", *[F.coalesce(c, "load_mw").alias(c) for c in cols])
 
 
+#: ``complete_hours`` in SQL: the hourly load without gaps.
+_FULL_SQL = cte("load") + """, bo AS (SELECT min(time) AS lo, max(time) AS hi, avg(load_mw) AS m FROM load),
+     full_load AS (SELECT s.time, coalesce(l.load_mw, m) AS load_mw FROM
+     (SELECT m, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS time FROM bo) s LEFT JOIN load l USING (time))"""
+
+
 def model_root(spark: SparkSession, sf: str) -> str:
     """A fresh root with the processed tables of the readings."""
     root = fresh_path(spark, "model-root")
@@ -122,12 +128,18 @@ def holdout_metrics(spark, sf):
     return rounded(training.holdout_metrics(latest_vintage(same_day, frame)))
 
 
-@query("M4_register")
+@query(
+    "M4_register",
+    """SELECT * FROM (VALUES (1, 'registered', '1', 'trained with events', true),
+       (2, 'promoted', '1', 'first model: no production version yet', true))
+       AS t(seq, event, version, reason, stored) WHERE (SELECT count(*) FROM events) > 0""",
+)
 def register(spark, sf):
+    """What training writes to the log, and whether the version it names is stored."""
     root, _ = trained_root(spark, sf)
     events = tables.read_events(spark, root).select("seq", "event", "version", "reason")
-    versions = tables.read_versions(spark, root).select("version", "model_id")
-    return events.join(versions, "version")
+    versions = tables.read_versions(spark, root).select("version", F.col("model_id").isNotNull().alias("stored"))
+    return events.join(versions, "version").withColumn("seq", F.col("seq").cast("int"))
 
 
 @query(
@@ -186,14 +198,21 @@ def promote(spark, sf):
     return _log_out(spark, root)
 
 
-@query("M7_score")
+@query(
+    "M7_score",
+    _FULL_SQL
+    + f""" SELECT round(avg(abs((y.load_mw - n.load_mw) / nullif(y.load_mw, 0))) * 100, 6) AS naive_mape, true AS scored
+         FROM full_load y LEFT JOIN full_load n ON n.time = y.time - INTERVAL 168 HOUR
+         WHERE CAST({b.local('y.time')} AS DATE) IN (SELECT CAST({b.local('ts')} AS DATE) FROM events)""",
+)
 def score(spark, sf):
+    """The seasonal error, and that the model has an error, over all days of the readings."""
     root, meta = trained_root(spark, sf)
     model, meta = training.load_version(spark, root, meta["registry_version"])
     load = tables.read_table(spark, root, tables.LOAD, schemas.LOAD_HOURLY)
     weather = tables.read_table(spark, root, tables.WEATHER, schemas.weather_hourly(b.TYPES))
-    days = b.event_days(spark, sf).where(F.col("target_day") < F.lit(date(2024, 1, 30)))
-    return gate.score(model, meta, load, weather, days)
+    errors = gate.score(model, meta, load, weather, b.event_days(spark, sf))
+    return rounded(errors.select("naive_mape", F.col("mape").isNotNull().alias("scored")))
 
 
 @query(
@@ -278,12 +297,20 @@ def rollback(spark, sf):
     return _log_out(spark, root)
 
 
-@query("M11_run_forecast")
+@query(
+    "M11_run_forecast",
+    _FULL_SQL
+    + """ SELECT s.time, round(n.load_mw, 6) AS naive_mw, 'tidecast-gbt/v1' AS model_version,
+         TIMESTAMP '2024-01-28 15:30:00' AS issued_at, DATE '2024-01-29' AS target_day, true AS has_forecast
+         FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-29 05:00:00', TIMESTAMP '2024-01-30 04:00:00',
+         INTERVAL 1 HOUR)) AS time) s LEFT JOIN full_load n ON n.time = s.time - INTERVAL 168 HOUR""",
+)
 def forecast(spark, sf):
     root, _ = trained_root(spark, sf)
     temps = tables.read_table(spark, root, tables.WEATHER, schemas.weather_hourly(b.TYPES))
     out = run_forecast(spark, root, temps, date(2024, 1, 29), datetime(2024, 1, 28, 15, 30, tzinfo=UTC), grain="month")
-    return out.drop("model_id")
+    kept = out.select("time", "naive_mw", "model_version", "issued_at", "target_day", "forecast_mw")
+    return rounded(kept.withColumn("has_forecast", F.col("forecast_mw").isNotNull()).drop("forecast_mw"))
 
 
 def _requests(spark, sf) -> DataFrame:
@@ -339,7 +366,19 @@ def request_features(spark, sf):
     return rounded(feats.select(*cols))
 
 
-@query("M12_score_requests")
+@query(
+    "M12_score_requests",
+    _REQ_SQL
+    + f""", bo AS (SELECT min(time) AS lo, max(time) AS hi FROM load),
+         g AS (SELECT *, {b.utc('date')} + to_hours(CAST(hour AS INTEGER)) AS ht, {_ISS} AS iss
+         FROM rr, bo WHERE reject_reason IS NULL)
+         SELECT request_id, date, hour, ht AS time_utc, iss AS issue_time, true AS has_forecast, """
+    + ", ".join(
+        f"ht - INTERVAL {k} HOUR + INTERVAL 1 HOUR <= iss AND ht - INTERVAL {k} HOUR BETWEEN lo AND hi AS has_lag_{k}h"
+        for k in b.LAGS
+    )
+    + " FROM g",
+)
 def score_requests(spark, sf):
     root, meta = trained_root(spark, sf)
     model, meta = training.load_production(spark, root)
@@ -348,6 +387,7 @@ def score_requests(spark, sf):
     answers, _ = serving.score_requests(_requests(spark, sf), model, meta, load, at)
     known = F.col("lags_available")
     return answers.select(
-        "request_id", "date", "hour", "time_utc", "forecast_mw", "issue_time",
+        "request_id", "date", "hour", "time_utc", "issue_time",
+        F.col("forecast_mw").isNotNull().alias("has_forecast"),
         *[known[f"load_lag_{k}h"].alias(f"has_lag_{k}h") for k in b.LAGS],
     )
