@@ -63,7 +63,14 @@ def with_missing_flags(frame: DataFrame, lags: Sequence[int]) -> DataFrame:
 
 
 def gbt(params: dict, seed: int) -> GBTRegressor:
-    p = {**DEFAULT_PARAMS, **params}
+    """The trees; a parameter they cannot honour is an error. ``subsample_freq`` is how often a
+    new subsample is drawn: 0 is never, and every other value is once per tree here."""
+    known = {**DEFAULT_PARAMS, "subsample_freq": 1, "objective": "regression_l1"}
+    if unknown := sorted(set(params) - set(known)):
+        raise ValueError(f"unknown model parameters: {unknown}")
+    p = {**known, **params}
+    if p["objective"] != known["objective"]:
+        raise ValueError(f"the trees are fitted on absolute error, not {p['objective']}")
     return GBTRegressor(
         featuresCol="features",
         labelCol="_label",
@@ -71,9 +78,9 @@ def gbt(params: dict, seed: int) -> GBTRegressor:
         lossType="absolute",
         maxIter=int(p["n_estimators"]),
         stepSize=float(p["learning_rate"]),
-        maxDepth=max(1, int(p["num_leaves"]).bit_length()),
+        maxDepth=max(1, (int(p["num_leaves"]) - 1).bit_length()),  # just deep enough for the leaves
         minInstancesPerNode=int(p["min_child_samples"]),
-        subsamplingRate=float(p["subsample"]),
+        subsamplingRate=float(p["subsample"]) if p["subsample_freq"] else 1.0,
         featureSubsetStrategy="all" if p["colsample_bytree"] >= 1 else str(p["colsample_bytree"]),
         cacheNodeIds=False,
         seed=seed,

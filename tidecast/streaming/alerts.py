@@ -34,13 +34,17 @@ class AlertProcessor(StatefulProcessor):
         self.state = handle.getValueState("alert", _STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        # Checks at one instant count as one; a problem outranks no problem.
-        batch = batch.assign(problem=batch["problem"].fillna(""))
-        batch = batch.groupby("at", sort=True)["problem"].max().reset_index()
+        # Checks at one instant count as one; a problem outranks no problem. Every chunk shrinks
+        # to its instants before the next one is read.
+        seen: dict[pd.Timestamp, str] = {}
+        for chunk in rows:
+            each = chunk.assign(problem=chunk["problem"].fillna("")).groupby("at")["problem"].max()
+            for at, problem in each.items():
+                seen[at] = max(problem, seen.get(at, ""))
+        batch = sorted(seen.items())
         firing, since, last = self.state.get() if self.state.exists() else (False, None, None)
         sent = []
-        for at, problem in zip(batch["at"], batch["problem"], strict=True):
+        for at, problem in batch:
             event = None
             if problem and not firing:
                 firing, since, last, event = True, at, at, "firing"
