@@ -32,7 +32,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources mixed to their target weights; one epoch, so no document comes twice."""
-    return mix_documents(docs, epochs=1).drop("mix_epoch")
+    return mix_documents(docs, epochs=1, epoch="__epoch").drop("__epoch")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -141,8 +141,10 @@ def mix_sources(
     budget_percent: int = 60,
     max_epochs: int = 2,
     seed: int = 7,
+    epoch: str = "mix_epoch",
 ) -> DataFrame:
-    """Rows of ``docs`` with ``mix_epoch`` (0 for the first copy), one row per selected copy.
+    """Rows of ``docs`` with the column ``epoch`` (0 for the first copy), one row per selected
+    copy; a column of that name in ``docs`` is replaced.
 
     ``tokens`` is the narrow table of the same documents: doc_id, the level names (never null) and
     n_tokens; ``levels`` and ``n_tokens`` say how to compute these from ``docs``. Texts are not
@@ -207,7 +209,7 @@ def mix_sources(
         .withColumn("__copies", F.col("__epochs") + F.col("__taken").cast("long"))
         .where("__copies > 0")
         .select(
-            *(F.col(c) for c in docs.columns if c != "mix_epoch"),
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col("__copies") - 1)).alias("mix_epoch"),
+            *(F.col(c) for c in docs.columns if c != epoch),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("__copies") - 1)).alias(epoch),
         )
     )

@@ -99,8 +99,8 @@ def mix_tree() -> dict:
     }
 
 
-def mix_documents(docs: DataFrame, epochs: int = MIX_EPOCHS) -> DataFrame:
-    """``docs`` with mix_epoch, one row per selected copy."""
+def mix_documents(docs: DataFrame, epochs: int = MIX_EPOCHS, epoch: str = "mix_epoch") -> DataFrame:
+    """``docs`` with the column ``epoch``, one row per selected copy."""
     tokens = docs.select(
         "doc_id", *(c.alias(k) for k, c in mix_tree().items()), count_tokens().alias("n_tokens")
     )
@@ -113,6 +113,7 @@ def mix_documents(docs: DataFrame, epochs: int = MIX_EPOCHS) -> DataFrame:
         MIX_PERCENT,
         epochs,
         MIX_SEED,
+        epoch,
     )
 
 
