@@ -35,6 +35,9 @@ HEADLINE = [
     "D20_data_fingerprint",
     "E7_alert_transitions",
     "A9_upsert",
+    "J1_process",
+    "J1_process_by_series",
+    "J2_drift_inputs",
     "J4_backtest_summary",
 ]
 
