@@ -130,14 +130,16 @@ def test_lists_lose_no_pair(monkeypatch):
     for tiles in (False, True):
         rows = []
         for sid, s in enumerate(sets):
-            for place, token in enumerate(s[: prefix_length(len(s), 90)].tolist()):
+            prefix = s[: prefix_length(len(s), 90)].tolist()
+            for place, token in enumerate(prefix):
+                before = prefix[place - 1] if place else -1 - sid
                 own = sid % jaccard.TILES
                 for other in range(jaccard.TILES) if tiles else [None]:
                     tile = 0 if other is None else 1 + min(own, other) * jaccard.TILES + max(own, other)
-                    rows.append((token, tile, len(s), sid, place))
+                    rows.append((token, tile, len(s), sid, place, before))
         rows.sort()
-        token, tile, n, sid, place = (np.array(c) for c in zip(*rows, strict=True))
-        found = {tuple(p) for p in list_pairs(90, token, tile, sid, n, place, sid).tolist()}
+        token, tile, n, sid, place, before = (np.array(c) for c in zip(*rows, strict=True))
+        found = {tuple(p) for p in list_pairs(90, token, tile, sid, n, place, sid, before).tolist()}
         want = {
             (a, b)
             for a, b in itertools.combinations(range(len(sets)), 2)

@@ -4,12 +4,13 @@ A document's set holds the hashes of its distinct word shingles. Equal sets are
 start. Then, in this order:
 
 * Relations first. Every set looks for one close relative, the most ordinary set it shares a
-  minimum hash with, and the overlap of the two is counted. Sets linked to the same relative have
-  their answers from it: they are in one component, and none of their pairs is looked at again.
+  minimum hash with, and the overlap of the two is counted. Sets that such links join have their
+  answers from them: they are in one component, and none of their pairs is looked at again.
 * Index lists for everything else. Tokens are ordered from rare to frequent and the first
   ``n - ceil(t n) + 1`` tokens of a set are indexed with their positions, so linked sets share an
   indexed token. A list is cut into blocks by position; a block whose best position cannot leave
-  enough tokens for the required overlap is skipped, and so is a pair whose sets are related.
+  enough tokens for the required overlap is skipped, and so is a pair whose sets are related or
+  have the same token before this one, as the list of that token has the pair already.
 * The remaining pairs are first bounded by parity bitmaps (about one bit a token, whose differences
   are differences of the sets) and then decided by their exact overlap.
 
@@ -256,7 +257,7 @@ def relatives(sketches: DataFrame, percent: int) -> DataFrame:
     )
 
 
-POSTINGS = "token long, tile int, sid long, n int, place int, star long"
+POSTINGS = "token long, tile int, sid long, n int, place int, star long, before long"
 
 
 def _postings(batches: Iterator[pa.RecordBatch], tiled: int) -> Iterator[pa.RecordBatch]:
@@ -271,6 +272,8 @@ def _postings(batches: Iterator[pa.RecordBatch], tiled: int) -> Iterator[pa.Reco
         row = np.repeat(np.arange(len(length)), length)
         place = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
         token = np.frombuffer(b"".join(d["prefix"]), dtype="<i8")
+        before = np.concatenate([token[:1], token[:-1]])
+        before[place == 0] = np.array(d["sid"])  # the first token of a set has none before it
         hot = np.frombuffer(b"".join(d["hot"]), dtype=np.uint8) >= tiled
         tile = np.zeros(len(row), dtype=np.int32)
         if hot.any():
@@ -282,23 +285,24 @@ def _postings(batches: Iterator[pa.RecordBatch], tiled: int) -> Iterator[pa.Reco
             cold = np.flatnonzero(~hot)
             tile = np.concatenate([tile[cold], 1 + low * TILES + high]).astype(np.int32)
             pick = np.concatenate([cold, np.repeat(at, TILES)])
-            row, place, token = row[pick], place[pick], token[pick]
+            row, place, token, before = row[pick], place[pick], token[pick], before[pick]
         sid, n, star = (np.array(d[c])[row] for c in ("sid", "n", "star"))
         for lo in range(0, len(row), 1 << 18):
             s = slice(lo, lo + (1 << 18))
-            yield _batch(schema, token[s], tile[s], sid[s], n[s], place[s], star[s])
+            yield _batch(schema, token[s], tile[s], sid[s], n[s], place[s], star[s], before[s])
 
 
-def _passing(percent: int, n, left, star, salt, tile, i, j) -> np.ndarray:
-    """Which pairs (i, j) of one list may be linked and are not related."""
+def _passing(percent: int, n, left, star, salt, tile, before, i, j) -> np.ndarray:
+    """Which pairs (i, j) of one list may be linked, are not related and are new."""
     a, b = n[i], n[j]
     need = -(-percent * (a + b) // (100 + percent))  # least overlap that reaches the threshold
     ok = (np.minimum(left[i], left[j]) >= need) & (star[i] != star[j])
+    ok &= before[i] != before[j]
     one_salt = (tile[i] == 0) | (salt[i] != salt[j]) | (tile[i] == 1 + salt[i] * (TILES + 1))
     return ok & one_salt
 
 
-def list_pairs(percent: int, token, tile, sid, n, place, star) -> np.ndarray:
+def list_pairs(percent: int, token, tile, sid, n, place, star, before) -> np.ndarray:
     """Distinct pairs (a < b) of sets from whole lists, sorted by token, tile and n."""
     left, salt = n - place, sid % TILES
     first = np.flatnonzero(
@@ -306,7 +310,7 @@ def list_pairs(percent: int, token, tile, sid, n, place, star) -> np.ndarray:
     )
     last = np.append(first[1:], len(token))
     size = last - first
-    args = (percent, n, left, star, salt, tile)
+    args = (percent, n, left, star, salt, tile, before)
     found = [np.empty((0, 2), dtype=np.int64)]
 
     def keep(i, j):
@@ -546,10 +550,10 @@ def _set_components(docs: DataFrame, sized: DataFrame, words: int, percent: int)
     )
     near = materialize(relatives(sketches, percent), "jaccard-relatives")
     stars = linked_pairs(docs, sketches, near, words, percent)
-    star_of = stars.select(F.col("a").alias("sid"), F.col("b").alias("star")).union(
-        stars.select("b", "b").distinct()
+    star_of = components(stars, "a", "b").select(
+        F.col("node").alias("sid"), F.col("component").alias("star")
     )
-    star_of = materialize(star_of.groupBy("sid").agg(F.min("star").alias("star")), "jaccard-stars")
+    star_of = materialize(star_of, "jaccard-stars")
     indexed = sketches.join(star_of, "sid", "left").select(
         "sid", "n", "prefix", "hot", F.coalesce("star", "sid").alias("star")
     )
