@@ -5,9 +5,10 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidecast.llm.quality import STATISTICS, keep_good, quality_scores, statistics
-from tidecast.llm.toxicity import ToxicModel, toxicity_scores, words
+from tidecast.llm.toxicity import ToxicModel, fit_toxicity, toxicity_scores, words
 
 
 def corpus(n: int, seed: int = 3):
@@ -108,3 +109,23 @@ def test_toxic_features():
     assert model.features("Bad, good other") == pytest.approx(((4 - 1 + 0.5) / 3, 4.0))
     assert ToxicModel({"bad": 4.0}, 0.0, span=2).features("bad bad x") == pytest.approx((8 / 3, 4.0))
     assert model.features(None) == (0.0, 0.0) and words("  ") == []
+
+
+def test_toxicity_counts_all_rows_and_keeps_the_prior(spark, documents):
+    """The bound on the curve's sample changes neither the model's counts nor the class shares."""
+    rng = random.Random(5)
+    rows = []
+    for k in range(1200):
+        toxic = rng.random() < 0.1
+        body = rng.choices("abcdefghijklmnop", k=30)
+        if rng.random() < (0.7 if toxic else 0.1):
+            body[rng.randrange(30)] = "vileword"
+        rows.append((k, " ".join(body), int(toxic)))
+    df = documents([(k, t) for k, t, _ in rows])
+    known = spark.createDataFrame([(k, x) for k, _, x in rows], "doc_id long, toxic int")
+    whole = fit_toxicity(df, known, "toxic", F.lit(True))
+    cut = fit_toxicity(df, known, "toxic", F.lit(True), per_class=15)
+    assert cut.ratios == whole.ratios and cut.rare == whole.rare
+    for model in (whole, cut):
+        x = np.array([model.features(t) for _, t, _ in rows])
+        assert abs(model.score(x).mean() - np.mean([x for _, _, x in rows])) < 0.06
