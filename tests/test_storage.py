@@ -110,3 +110,22 @@ def test_shared_folder_is_the_named_one_and_stays_the_same(spark):
     assert first == shared_dir(spark)
     assert not named or first == named.rstrip("/")
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
+
+
+def test_publish_by_series_takes_two_calls_for_any_number_of_series(spark, tmp_path, monkeypatch):
+    from tests.conftest import instants
+    from tidecast.catalog import jobs
+
+    rows = [(k, utc(2024, 1, 1 + k % 3, k % 5), f"series{k % 20}", float(k)) for k in range(200)]
+    rows.append((500, utc(2024, 1, 2, 3), None, 7.0))
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp, event_type string, value double")
+    monkeypatch.setattr(jobs.b, "read", lambda *_: events)
+    calls, publish = [], jobs.tables.publish
+    monkeypatch.setattr(jobs.tables, "publish", lambda *a: calls.append(1) or publish(*a))
+    want = {}
+    for _, ts, series, value in rows:
+        want[series, ts] = max(value, want.get((series, ts), value))
+    got = jobs.publish_by_series(spark, str(tmp_path)).collect()
+    times = instants(got)
+    assert {(r.series, t): r.forecast_mw for r, t in zip(got, times, strict=True)} == want
+    assert len(got) == len(want) and len(calls) == 2
