@@ -10,6 +10,7 @@ from tidecast.llm.common import ORACLES, QUERIES, materialize, query, table
 from tidecast.llm.embeddings import near_vectors
 from tidecast.llm.exact import exact_groups
 from tidecast.llm.jaccard import near_components
+from tidecast.llm.middle import middle_digests, middle_pieces
 from tidecast.llm.mixing import count_tokens, domain_of, mix_sources
 from tidecast.llm.packing import pack_documents
 from tidecast.llm.quality import quality_scores
@@ -237,6 +238,44 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_digests(windows)
 
 
+_MIDDLE_SQL = r"""
+    WITH units AS (
+        SELECT doc_id, coalesce(text, '') AS t,
+               regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+               sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h
+        FROM documents
+    ),
+    cuts AS (
+        SELECT *, len(u) AS n,
+               ('0x' || h[1:8])::UBIGINT % (len(u) + 1) AS c1,
+               ('0x' || h[9:16])::UBIGINT % (len(u) + 1) AS c2,
+               CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                         OR ('0x' || h[17:24])::UBIGINT % 100 >= 100 THEN 'plain'
+                    WHEN ('0x' || h[25:32])::UBIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+        FROM units
+    ),
+    parts AS (
+        SELECT *, coalesce(array_to_string(u[1:least(c1, c2)], ''), '') AS p,
+               coalesce(array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], ''), '') AS m,
+               coalesce(array_to_string(u[greatest(c1, c2) + 1:], ''), '') AS s
+        FROM cuts
+    )
+    SELECT doc_id, n::BIGINT AS n, form,
+           CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t
+                  WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                  ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM parts
+"""
+
+
+@query("op11_fill_in_middle", _MIDDLE_SQL)
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middle_digests(middle_pieces(table(spark, sf_dir, "documents"))).drop("row")
+
+
 def all_queries() -> dict:
     return dict(QUERIES)
 
