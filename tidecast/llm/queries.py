@@ -14,6 +14,7 @@ from tidecast.llm.middle import middle_digests, middle_pieces
 from tidecast.llm.mixing import count_tokens, domain_of, mix_sources
 from tidecast.llm.packing import pack_documents
 from tidecast.llm.quality import quality_scores
+from tidecast.llm.rules import COUNTS, clean_lines
 from tidecast.llm.secrets import secret_report
 from tidecast.llm.substrings import without_repeats
 from tidecast.llm.toxicity import toxicity_scores
@@ -276,6 +277,71 @@ def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return middle_digests(middle_pieces(table(spark, sf_dir, "documents"))).drop("row")
 
 
+_RULES_SQL = r"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+    ),
+    split AS (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS l FROM docs),
+    words AS (SELECT r, unnest(l) AS w, generate_subscripts(l, 1) AS i FROM split),
+    counted AS (SELECT r, count(*) AS n_words, sum(length(w)) AS word_chars FROM words GROUP BY r),
+    windows AS (
+        SELECT r, i, w || ' ' || lead(w, 1) OVER next || ' ' || lead(w, 2) OVER next AS x
+        FROM words WINDOW next AS (PARTITION BY r ORDER BY i)
+    ),
+    again AS (
+        SELECT r, i FROM windows WHERE x IS NOT NULL
+        QUALIFY count(*) OVER (PARTITION BY r, x) > 1
+    ),
+    covered AS (
+        SELECT r, count(DISTINCT i + k) AS n FROM again, (VALUES (0), (1), (2)) AS v(k) GROUP BY r
+    ),
+    lines AS (
+        SELECT r, l, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n,
+               translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+               length(regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g')) AS chars
+        FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM docs)
+        WHERE regexp_matches(l, '[^\x20\x09-\x0D]')
+    ),
+    judged AS (
+        SELECT r, l, chars,
+               NOT regexp_matches(l, '[.!?:;…][''"”’»)\]]*[\x20\x09-\x0D]*\z')
+               OR len(regexp_extract_all(l, '[!?#*$%&<>|=~^_]{2,}')) * 5 > n
+               OR (regexp_matches(l, '[|»›•·]') AND len(regexp_extract_all(l, '[|»›•·]')) * 4 >= n)
+               OR (n <= 8 AND regexp_matches(low, 'read more|click here|back to top|skip to content|next page|previous page|sign in|log in|sign up|contact us|about us|site map'))
+               OR regexp_matches(low, 'all rights reserved|privacy policy|cookie policy|use cookies|uses cookies|terms of use|terms of service|terms and conditions|javascript|lorem ipsum|licensed under|released under the|copyright|©|subscribe to our|powered by')
+               AS failed
+        FROM lines
+    ),
+    by_line AS (
+        SELECT r, count(*) - count(DISTINCT l) AS n_dup_lines, count(*) AS n_lines,
+               count(*) FILTER (failed) AS n_failed_lines,
+               coalesce(sum(chars) FILTER (failed), 0) AS lost_chars
+        FROM judged GROUP BY r
+    ),
+    counts AS (
+        SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words,
+               coalesce(word_chars, 0)::BIGINT AS word_chars,
+               length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+               coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+               coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
+               coalesce(n_lines, 0)::BIGINT AS n_lines,
+               coalesce(n_failed_lines, 0)::BIGINT AS n_failed_lines,
+               coalesce(lost_chars, 0)::BIGINT AS lost_chars
+        FROM docs LEFT JOIN counted USING (r) LEFT JOIN covered USING (r) LEFT JOIN by_line USING (r)
+    )
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+           AND 100 * lost_chars <= 30 * word_chars AS kept
+    FROM counts
+"""
+
+
+@query("op13_quality_rules", _RULES_SQL)
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = clean_lines(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", *COUNTS, "base_failed", "kept")
+
+
 def all_queries() -> dict:
     return dict(QUERIES)
 
