@@ -71,6 +71,7 @@ def test_each_rule(spark):
         "  \t": None,
         "A heading without an end": "no_end",
         "He said \"Stop!\"  ": None,
+        "It began well. Then it was cut off in the mid": None,
         "Wow!! So!! Loud!! Here!!": "doubled",
         "One loud word!! in a line that goes on and on for a while.": None,
         "Home | Products | News | Help.": "navigation",

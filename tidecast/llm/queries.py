@@ -297,14 +297,14 @@ _RULES_SQL = r"""
     ),
     lines AS (
         SELECT r, l, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n,
-               translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+               lower(l) AS low,
                length(regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g')) AS chars
         FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM docs)
         WHERE regexp_matches(l, '[^\x20\x09-\x0D]')
     ),
     judged AS (
         SELECT r, l, chars,
-               NOT regexp_matches(l, '[.!?:;…][''"”’»)\]]*[\x20\x09-\x0D]*\z')
+               NOT regexp_matches(l, '[.!?:;…][''"”’»)\]]*[\x20\x09-\x0D]*\z|[.!?…][\x20\x09-\x0D]')
                OR len(regexp_extract_all(l, '[!?#*$%&<>|=~^_]{2,}')) * 5 > n
                OR (regexp_matches(l, '[|»›•·]') AND len(regexp_extract_all(l, '[|»›•·]')) * 4 >= n)
                OR (n <= 8 AND regexp_matches(low, 'read more|click here|back to top|skip to content|next page|previous page|sign in|log in|sign up|contact us|about us|site map'))
