@@ -18,6 +18,7 @@ from tidecast.llm.rules import COUNTS, clean_lines
 from tidecast.llm.secrets import secret_report
 from tidecast.llm.substrings import without_repeats
 from tidecast.llm.toxicity import toxicity_scores
+from tidecast.llm.variants import spelling_variants
 
 
 def tokenizer_path(name: str) -> str:
@@ -277,6 +278,84 @@ def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return middle_digests(middle_pieces(table(spark, sf_dir, "documents"))).drop("row")
 
 
+#: crc32 goes byte by byte; near words share what is left without one letter.
+_VARIANTS_SQL = r"""
+    WITH RECURSIVE steps AS (
+        SELECT i::UBIGINT AS i, i::UBIGINT AS v, 0 AS k FROM range(256) AS t(i)
+        UNION ALL
+        SELECT i, xor(v >> 1, (v & 1) * 3988292384::UBIGINT), k + 1 FROM steps WHERE k < 8
+    ),
+    crc_table AS (SELECT i, v FROM steps WHERE k = 8),
+    runs AS (
+        SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+        FROM documents
+    ),
+    counted AS (
+        SELECT id, run, count(*) AS n, hex(encode(id || ':' || run)) AS bytes
+        FROM runs WHERE length(run) >= 7 GROUP BY id, run
+    ),
+    crc AS (
+        SELECT id, run, n, bytes, 4294967295::UBIGINT AS c, 0 AS pos FROM counted
+        UNION ALL
+        SELECT id, run, n, bytes, xor(c >> 8, v), pos + 2
+        FROM crc JOIN crc_table ON i = xor(c & 255, ('0x' || bytes[pos + 1:pos + 2])::UBIGINT)
+        WHERE pos < length(bytes)
+    ),
+    hashed AS (
+        SELECT run, n, xor(c, 4294967295::UBIGINT) AS h FROM crc WHERE pos = length(bytes)
+    ),
+    words AS (
+        SELECT word, sum(n)::BIGINT AS n
+        FROM (SELECT n, CASE WHEN h % 31 = 0 THEN
+                  run[1:(h % length(run))::INT] || run[(h % length(run))::INT + 2:]
+                  ELSE run END AS word FROM hashed)
+        WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+    ),
+    holes AS (
+        SELECT word, n, i, word[1:i - 1] AS a, word[i + 1:] AS b
+        FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+    ),
+    shorter AS (
+        SELECT DISTINCT h.word AS long_word, h.n AS long_n, w.word AS short_word, w.n AS short_n
+        FROM holes h JOIN words w ON w.word = h.a || h.b
+    ),
+    pairs AS (
+        SELECT x.word, x.n, y.word AS other, y.n AS other_n
+        FROM holes x JOIN holes y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+        UNION ALL SELECT long_word, long_n, short_word, short_n FROM shorter
+        UNION ALL SELECT short_word, short_n, long_word, long_n FROM shorter
+    ),
+    best AS (
+        SELECT word, count(*) AS n_near, max(other_n) AS best_n,
+               first(other ORDER BY other_n DESC, encode(other)) AS other
+        FROM pairs GROUP BY word
+    ),
+    forms AS (
+        SELECT words.word, n, coalesce(n_near, 0) AS n_near,
+               CASE WHEN best_n >= 10 * n THEN other END AS form,
+               CASE WHEN best_n >= 10 * n THEN best_n END AS form_n
+        FROM words LEFT JOIN best USING (word)
+    ),
+    chains AS (
+        SELECT word, word AS root FROM forms
+        UNION ALL
+        SELECT c.word, f.form FROM chains c JOIN forms f ON f.word = c.root
+        WHERE f.form IS NOT NULL
+    ),
+    ends AS (
+        SELECT c.word, c.root FROM chains c JOIN forms f ON f.word = c.root WHERE f.form IS NULL
+    )
+    SELECT word, n, n_near, form, form_n, root FROM forms JOIN ends USING (word)
+"""
+
+
+@query("op12_spelling_variants", _VARIANTS_SQL)
+def spelling_variant_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 _RULES_SQL = r"""
     WITH docs AS (
         SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
