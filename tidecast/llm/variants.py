@@ -46,8 +46,10 @@ LETTERS = 26 + 64
 BAND = 48
 SAMPLE = 1 << 16
 MAX_CELLS = 1 << 12
+PER_CELL = 1 << 15
 LEAF = 32
-QUERIES_AT_ONCE = 1 << 12
+ROWS_AT_ONCE = 1 << 14
+CANDIDATES_AT_ONCE = 1 << 19
 _HELD_WORDS = 1 << 18
 _LEVELS = 4
 _CODES = np.full(256, 255, dtype=np.uint8)
@@ -59,6 +61,19 @@ _BITS = np.stack(
 )
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``ROWS_AT_ONCE`` rows: searches of many words at once share their steps."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.num_rows
+        if size >= ROWS_AT_ONCE:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if size:
+        yield pa.concat_batches(held)
+
+
 def _counter(least_length: int, misspelt: int):
     schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
     run = re.compile("[a-zÀ-ÿ]{%d,}" % least_length)
@@ -252,10 +267,8 @@ def _router(shared):
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = shared.value.trees
-        for b in batches:
+        for b in _gathered(batches):
             words = b.column(0).to_pylist()
-            if not words:
-                continue
             group = np.minimum([len(w) for w in words], BAND)
             tile = np.array([zlib.crc32(w.encode()) for w in words])
             vectors = letter_counts(words)
@@ -333,13 +346,21 @@ class Words:
 def near(q: Words, i: np.ndarray, d: Words, j: np.ndarray) -> np.ndarray:
     """Which pairs (q[i], d[j]) differ by one letter?"""
     out = np.zeros(len(i), dtype=bool)
-    step = d.lengths[j] - q.lengths[i]
-    long = np.maximum(d.lengths[j], q.lengths[i]) > BAND
-    for k in np.flatnonzero(long & (np.abs(step) <= 1)):
-        out[k] = one_edit(q.words[i[k]], d.words[j[k]])
-    for value, test in ((0, _same_but_one), (1, _one_more), (-1, lambda a, b: _one_more(b, a))):
-        at = np.flatnonzero((step == value) & ~long)
-        out[at] = test(q.padded[i[at]], d.padded[j[at]])
+    if not len(i):
+        return out
+    most = max(int(q.lengths.max()), int(d.lengths.max()))
+    width = min(most, BAND) + 2
+    a, b = q.padded[:, :width], d.padded[:, :width]
+    step = (d.lengths[j] - q.lengths[i]).astype(np.int8) if most < 100 else d.lengths[j] - q.lengths[i]
+    short = np.ones(len(i), dtype=bool)
+    if most > BAND:
+        short = np.maximum(d.lengths[j], q.lengths[i]) <= BAND
+        for k in np.flatnonzero(~short & (np.abs(step) <= 1)):
+            out[k] = one_edit(q.words[i[k]], d.words[j[k]])
+    for value, test in ((0, _same_but_one), (1, _one_more), (-1, lambda x, y: _one_more(y, x))):
+        at = np.flatnonzero((step == value) & short)
+        if len(at):
+            out[at] = test(a[i[at]], b[j[at]])
     return out
 
 
@@ -348,7 +369,14 @@ def cell_answers(stored: Words, tree: Tree, q: Words) -> tuple[np.ndarray, ...]:
     in code-point order."""
     group = min(int(stored.lengths[0]), BAND)
     step = group - np.minimum(q.lengths, BAND)
-    found_i, found_j = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    pairs, held, size = [(np.empty(0, np.int64),) * 2], [], 0
+
+    def verified():
+        i, j = (np.concatenate(x) for x in zip(*held, strict=True))
+        ok = near(q, i, stored, j)
+        held.clear()
+        return i[ok], j[ok]
+
     for value, (over, lack) in BOUNDS.items():
         own = np.flatnonzero(step == value)
         if not len(own):
@@ -357,13 +385,17 @@ def cell_answers(stored: Words, tree: Tree, q: Words) -> tuple[np.ndarray, ...]:
             rows, members = own[hit], tree.members[leaf]
             for lo in range(0, len(members), 256):  # equal vectors may share a large leaf
                 some = members[lo : lo + 256]
-                apart = np.bitwise_count(q.bits[rows, None, :] ^ stored.bits[None, some, :])
-                a, b = np.nonzero(apart.sum(axis=2) <= 2)
-                i, j = rows[a], some[b]
-                ok = near(q, i, stored, j)
-                found_i.append(i[ok])
-                found_j.append(j[ok])
-    i, j = np.concatenate(found_i), np.concatenate(found_j)
+                apart = np.bitwise_count(q.bits[rows, 0, None] ^ stored.bits[some, 0])
+                apart += np.bitwise_count(q.bits[rows, 1, None] ^ stored.bits[some, 1])
+                a, b = np.nonzero(apart <= 2)
+                held.append((rows[a], some[b]))
+                size += len(a)
+                if size >= CANDIDATES_AT_ONCE:
+                    pairs.append(verified())
+                    size = 0
+    if held:
+        pairs.append(verified())
+    i, j = (np.concatenate(x) for x in zip(*pairs, strict=True))
     order = np.lexsort((j, -stored.n[j], i))
     i, j = i[order], j[order]
     query, first, size = np.unique(i, return_index=True, return_counts=True)
@@ -378,44 +410,41 @@ def _searcher(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
         [("word", pa.string()), ("n_near", pa.int64()), ("best_n", pa.int64()), ("best", pa.string())]
     )
-    cell, words, n, queries, ready = None, [], [], [], None
-
-    def answers():
-        nonlocal ready
-        if queries and words:
+    cell, words, n, ready = None, [], [], None
+    for b in _gathered(batches):
+        cells = b.column(0).to_numpy()
+        query = b.column(1).to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(
+            np.concatenate([[True], (np.diff(cells) != 0) | (query[1:] != query[:-1])])
+        )
+        for lo, hi in zip(starts, [*starts[1:], len(cells)], strict=True):
+            if cells[lo] != cell:
+                cell, words, n, ready = cells[lo], [], [], None
+            here = b.column(2).slice(lo, hi - lo)
+            if not query[lo]:
+                words += here.to_pylist()
+                n += b.column(3).slice(lo, hi - lo).to_pylist()
+                continue
+            if not words:
+                continue
             if ready is None:
                 stored = Words(words, n)
                 ready = stored, Tree.build(stored.counts, LEAF)
             stored, tree = ready
-            q, size, best = cell_answers(stored, tree, Words(queries))
+            q, size, best = cell_answers(stored, tree, Words(here.to_pylist()))
             if len(q):
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([queries[k] for k in q], pa.string()),
+                        here.take(pa.array(q)),
                         pa.array(size, pa.int64()),
                         pa.array(stored.n[best], pa.int64()),
                         pa.array([words[k] for k in best], pa.string()),
                     ],
                     schema=schema,
                 )
-        queries.clear()
-
-    for b in batches:
-        for c, query, word, count in zip(*(x.to_pylist() for x in b.columns), strict=True):
-            if c != cell:
-                yield from answers()
-                cell, words, n, ready = c, [], [], None
-            if query:
-                queries.append(word)
-                if len(queries) >= QUERIES_AT_ONCE:
-                    yield from answers()
-            else:
-                words.append(word)
-                n.append(count)
-    yield from answers()
 
 
-def neighbours(words: DataFrame, per_cell: int = 4096, sample: int = SAMPLE) -> DataFrame:
+def neighbours(words: DataFrame, per_cell: int = PER_CELL, sample: int = SAMPLE) -> DataFrame:
     """(word, n, n_near, best_n, best) of a table of distinct words with counts: how many words are
     one letter away, and the one with the largest count."""
     spark = words.sparkSession
@@ -481,7 +510,7 @@ def spelling_variants(
     least_count: int = 2,
     factor: int = 10,
     misspelt: int = 31,
-    per_cell: int = 4096,
+    per_cell: int = PER_CELL,
 ) -> DataFrame:
     """One row per word: word, n, n_near, form, form_n, root. The form of a word is its neighbour
     of largest count, if that is at least ``factor`` times its own (``factor`` above 1)."""
