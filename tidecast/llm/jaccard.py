@@ -56,30 +56,81 @@ _MULTIPLIERS = np.array(
 _REMEMBERED = 400_000
 
 
+#: Random values of bytes (those of A-Z are those of a-z) and the powers that place them: the hash
+#: of a word is the sum of its bytes' values times the powers of their places in the word.
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[ord("A") : ord("Z") + 1] += 32
+_VALUES = np.random.default_rng(20_024).integers(0, 1 << 64, 256, dtype=np.uint64)[_FOLD]
+_SOLID = np.ones(256, dtype=bool)
+_SOLID[[0x20, *range(0x09, 0x0E)]] = False
+_BASE = 0x9E3779B97F4A7C15
+_BLOCK = 1 << 16
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+class _Places:
+    """Powers of the base and of its inverse (modulo 2^64), as many as the longest block needs."""
+
+    def __init__(self):
+        self.up = self.down = np.empty(0, dtype=np.uint64)
+
+    def need(self, n: int) -> None:
+        if n > len(self.up):
+            size = max(_BLOCK, 1 << (n - 1).bit_length())
+            self.up, self.down = _powers(_BASE, size), _powers(pow(_BASE, -1, 1 << 64), size)
+
+
+def _block_hashes(codes: np.ndarray, places: _Places) -> np.ndarray:
+    n = len(codes)
+    places.need(n)
+    solid = np.zeros(n + 2, dtype=bool)
+    solid[1:-1] = _SOLID[codes]
+    edges = np.flatnonzero(solid[1:] != solid[:-1])
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(_VALUES[codes] * places.up[:n], out=sums[1:])
+    starts, ends = edges[::2], edges[1::2]
+    return (sums[ends] - sums[starts]) * places.down[starts]
+
+
+def word_hashes(raw: bytes, places: _Places) -> np.ndarray:
+    """64-bit hashes of all words of a text, in order; blocks end between words."""
+    codes = np.frombuffer(raw, dtype=np.uint8)
+    if len(codes) <= _BLOCK:
+        return _block_hashes(codes, places)
+    found, lo = [], 0
+    while lo < len(codes):
+        hi, size = len(codes), _BLOCK
+        while lo + size < len(codes):
+            blank = np.flatnonzero(~_SOLID[codes[lo : lo + size]])
+            if len(blank):
+                hi = lo + int(blank[-1]) + 1
+                break
+            size *= 2  # one word is longer than the block
+        found.append(_block_hashes(codes[lo:hi], places))
+        lo = hi
+    return np.concatenate(found)
+
+
 class Shingler:
-    """Sorted distinct 64-bit shingle hashes of a text."""
+    """Sorted distinct 64-bit shingle hashes of a text. It keeps no words: a worker that is used
+    again by other work holds nothing of the texts it has seen."""
 
     def __init__(self, words: int):
         self.words = words
-        self.known: dict[bytes, int] = {}
-
-    def _word(self, w: bytes) -> int:
-        h = self.known.get(w)
-        if h is None:
-            h = xxhash.xxh3_64_intdigest(w)
-            if len(self.known) < _REMEMBERED:
-                self.known[w] = h
-        return h
+        self.places = _Places()
 
     def __call__(self, text: str | None) -> np.ndarray:
-        found = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        if not found:
-            return np.empty(0, dtype=np.uint64)
-        if len(found) < self.words:
-            whole = xxhash.xxh3_64_intdigest(b" ".join(found), seed=len(found))
+        h = word_hashes((text or "").encode("utf-8", "surrogatepass"), self.places)
+        if not len(h):
+            return h
+        if len(h) < self.words:
+            whole = xxhash.xxh3_64_intdigest(h.tobytes(), seed=len(h))
             return np.array([whole], dtype=np.uint64)
-        get, word = self.known.get, self._word
-        h = np.array([get(w) or word(w) for w in found], dtype=np.uint64)
         n = len(h) - self.words + 1
         mixed = np.full(n, 0x27D4EB2F165667C5, dtype=np.uint64)
         for k in range(self.words):
@@ -88,14 +139,6 @@ class Shingler:
         return np.unique(mixed)
 
 
-_SHINGLERS: dict[int, Shingler] = {}
-
-
-def _shingler(words: int) -> Shingler:
-    """One per worker process, with the words it has seen."""
-    return _SHINGLERS.setdefault(words, Shingler(words))
-
-
 def set_id(tokens: np.ndarray) -> int:
     """64-bit signed id of a whole set."""
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
@@ -125,7 +168,7 @@ def _sized(words: int):
 
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One row per document (kind 0), and tokens that occur again in a stretch (kind 1)."""
-        shingles, seen, held, size = _shingler(words), set(), [], 0
+        shingles, seen, held, size = Shingler(words), set(), [], 0
 
         def again():
             tokens, counts = np.unique(np.concatenate(held), return_counts=True)
@@ -181,7 +224,7 @@ def _sketched(words: int, percent: int, shared):
     schema = _columns(SKETCHED)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, seen = _shingler(words), set()
+        shingles, seen = Shingler(words), set()
         frequent, levels = shared.value
         for b in batches:
             rows = []
@@ -425,7 +468,7 @@ def _sets_of(words: int, shared):
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole sets of the documents that the filter lets through, each once per task."""
-        shingles, seen, packed = _shingler(words), set(), shared.value
+        shingles, seen, packed = Shingler(words), set(), shared.value
         last = len(packed) * 8 - 1
         for b in batches:
             rows = []
@@ -615,7 +658,7 @@ def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> Data
 
     @F.pandas_udf(T.LongType())
     def set_of(texts: pd.Series) -> pd.Series:
-        shingles = _shingler(words)
+        shingles = Shingler(words)
         return pd.Series([set_id(shingles(t)) for t in texts], dtype="int64")
 
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (set_of("text") == F.col("__set"))
