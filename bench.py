@@ -39,6 +39,10 @@ HEADLINE = [
     "J1_process_by_series",
     "J2_drift_inputs",
     "J4_backtest_summary",
+    "D6_update_errors_incremental",
+    "D11_psi_sketched",
+    "D18_failure_report",
+    "E7_alert_transitions_resumed",
 ]
 
 

@@ -6,7 +6,13 @@ from pyspark.sql import functions as F
 
 from tests.conftest import utc
 from tidecast import schemas
-from tidecast.operators.alerts import advance_state, alert_state, alert_transitions
+from tidecast.operators.alerts import (
+    advance_state,
+    alert_state,
+    alert_transitions,
+    resume_state,
+    resume_transitions,
+)
 from tidecast.streaming.alerts import stream_alerts
 
 DAY = timedelta(hours=24)
@@ -97,3 +103,33 @@ def test_stream_over_several_batches_equals_the_plain_loop(spark, tmp_path):
         )
         run.awaitTermination()
     assert _got(spark.read.parquet(str(tmp_path / "out"))) == _slow(rows)[0]
+
+
+@pytest.mark.parametrize("seed, cuts", [(1, (11, 300)), (5, (20, 21)), (6, (250, 251))])
+def test_a_log_cut_at_any_instants_equals_the_whole(spark, seed, cuts):
+    rows = sorted(_checks(seed, 0.97), key=lambda c: c[1])
+    schema = "key string, at timestamp, problem string"
+    ends = [rows[c][1] for c in cuts]
+    parts = [
+        [r for r in rows if r[1] <= ends[0]],
+        [r for r in rows if ends[0] < r[1] <= ends[1]],
+        [r for r in rows if r[1] > ends[1]],
+    ]
+    state = spark.createDataFrame([], schemas.ALERT_STATE)
+    found, texts = [], {}
+    for part in parts:
+        checks = spark.createDataFrame(part, schema)
+        moves = resume_transitions(state, checks)
+        found += _got(moves)
+        texts |= {(r["key"], r["at"], r["event"]): (r["since"], r["body"]) for r in moves.collect()}
+        left = resume_state(state, checks, moves).collect()
+        state = spark.createDataFrame(left, "key string, firing boolean, since timestamp, last_sent timestamp, resolved_at timestamp, message string")
+    want, end = _slow(rows)
+    assert sorted(found) == want
+    whole = spark.createDataFrame(rows, schema)
+    for r in alert_transitions(whole).collect():
+        assert texts[(r["key"], r["at"], r["event"])] == (r["since"], r["body"])
+    same = alert_state(whole, alert_transitions(whole)).collect()
+    columns = ("key", "firing", "since", "last_sent", "message")
+    assert sorted(repr([r[c] for c in columns]) for r in left) == sorted(repr([r[c] for c in columns]) for r in same)
+    assert {r["key"]: r["firing"] for r in left} == {k: s[0] for k, s in end.items()}

@@ -15,6 +15,8 @@ QUICK = [
     "B1_target_hours", "B4_calendar_features", "B9_normalize_iso_forecast", "C1_lag_features", "C3_last_known",
     "C6_training_frame", "C9_vintage_or_fallback", "D1_hourly_mean", "D5_score_days", "D11_psi", "D13_ks_2samp",
     "D18_validate", "E1_latest_wins", "E7_alert_transitions", "A9_upsert", "M10_rollback", "S1_stream_hourly",
+    "D6_update_errors_incremental", "D18_failure_report", "E7_alert_transitions_resumed", "S1_stream_hourly_revised",
+    "S27_nested_settings",
 ]
 NAMES = sorted(all_oracles()) if os.environ.get("TIDECAST_ALL") else QUICK
 

@@ -60,3 +60,23 @@ def test_repeated_rows_count_once_per_row(spark):
 def test_required_features(good):
     with pytest.raises(DataValidationError, match="load_mw"):
         quality.required_not_null(good[0].withColumn("load_mw", F.lit(None).cast("double")), ["time", "load_mw"])
+
+
+def test_a_report_is_bounded_and_whole(spark):
+    start = utc(2026, 1, 1)
+    rows = [(start + timedelta(hours=h), float(h)) for h in range(3000)]  # 0 to 2999: all out of range
+    rows += [(start + timedelta(hours=1), None), (start + timedelta(hours=1), 5.0)]
+    df = load_df(spark, rows).repartition(7)
+    rules = quality.load_rules()
+    few = quality.failing_rows(df, rules).mapInPandas(quality._smallest_cases(4), quality._PART)
+    per_task = few.withColumn("p", F.spark_partition_id()).groupBy("p", "check", "column").count().collect()
+    assert max(r["count"] for r in per_task) <= 4
+    got = {(r["check"], r["column"]): r for r in quality.failure_report(df, rules, 4).collect()}
+    assert got[("in_range(3000, 35000)", "load_mw")]["failures"] == 3001
+    cases = [(c["failure_case"], c["cases"]) for c in got[("in_range(3000, 35000)", "load_mw")]["first"]]
+    assert cases == [("0.0", 1), ("1.0", 1), ("10.0", 1), ("100.0", 1)]
+    assert [tuple(c) for c in got[("not_nullable", "load_mw")]["first"]] == [(None, 1)]
+    assert [tuple(c) for c in got[("unique", "time")]["first"]] == [("2026-01-01 01:00:00", 3)]
+    whole = {(r["check"], r["column"]): r["failures"] for r in quality.failure_summary(quality.validate(df, rules)).collect()}
+    assert whole == {k: r["failures"] for k, r in got.items()}
+    assert quality.failure_report(load_df(spark, [(start, 5000.0)]), rules).isEmpty()

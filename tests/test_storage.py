@@ -129,3 +129,18 @@ def test_publish_by_series_takes_two_calls_for_any_number_of_series(spark, tmp_p
     times = instants(got)
     assert {(r.series, t): r.forecast_mw for r, t in zip(got, times, strict=True)} == want
     assert len(got) == len(want) and len(calls) == 2
+
+
+def test_a_fetch_that_is_tried_again_is_stored_once(spark):
+    root = fresh_path(spark, "raw")
+    days = [utc(2026, 3, d) for d in (7, 8)]
+    rows = _reading(spark, days[0]).unionByName(_reading(spark, days[1]))
+    whole = raw.split_by_utc_day(rows, "Interval Start").repartition(5)
+    for _ in range(2):
+        raw.append_raw(whole, root, "load", None, utc(2026, 3, 9))
+    raw.append_raw(whole.limit(0), root, "load", None, utc(2026, 3, 10))
+    raw.append_raw(raw.split_by_utc_day(_reading(spark, days[0], 5.0), "Interval Start"), root, "load", None, utc(2026, 3, 11))
+    got = raw.read_raw(spark, root, "load", schemas.RAW_LOAD, date(2026, 3, 7), date(2026, 3, 8))
+    assert sorted((str(r["date"]), r["Load"]) for r in got.collect()) == [
+        ("2026-03-07", 1.0), ("2026-03-07", 5.0), ("2026-03-08", 1.0),
+    ]

@@ -114,7 +114,7 @@ def test_requested_hours_across_clock_changes(spark):
         (r["date"], r["hour"]): r
         for r in match_requested_hours(spark.createDataFrame(rows, "date date, hour int")).collect()
     }
-    assert "does not exist" in got[rows[0]]["reject_reason"] and got[rows[0]]["time"] is None
+    assert "the clock skips it" in got[rows[0]]["reject_reason"] and got[rows[0]]["time"] is None
     assert got[rows[1]]["time"].astimezone(UTC) == utc(2026, 11, 1, 5)  # the first of two
     assert got[rows[2]]["time"].astimezone(UTC) == utc(2026, 6, 1, 9)
 
@@ -124,3 +124,21 @@ def test_seasonal_reference_has_35_days_on_the_same_weekdays(spark):
     days = [r["day"] for r in temporal.seasonal_reference_days(week).orderBy("day").collect()]
     assert len(days) == 35 and days[0] == date(2025, 9, 18) and days[-1] == date(2025, 10, 22)
     assert days[14].weekday() == date(2026, 10, 1).weekday()
+
+
+def test_vintages_are_carried_and_never_paired(spark):
+    """Rows after the window are the issues, whatever the number of vintages of an hour."""
+    hour = utc(2026, 1, 2)
+    vintages = [("a", hour, hour - timedelta(minutes=m), float(m)) for m in range(1, 400)]
+    vintages += [("a", hour, hour - timedelta(minutes=50), 990.0), ("a", hour, None, 1.0), ("b", hour, hour - timedelta(minutes=3), None)]
+    iso = spark.createDataFrame(vintages, "zone string, time timestamp, forecast_time timestamp, iso_forecast_mw double")
+    issues = [("a", hour, hour - timedelta(minutes=m)) for m in (0, 50, 51, 399, 400)]
+    issues += [("a", hour, None), ("b", hour, hour), ("c", hour, hour)]
+    asked = spark.createDataFrame(issues + issues[:1], "zone string, time timestamp, issued_at timestamp")
+    found = temporal.vintage_at(iso, asked, series=["zone"])
+    rows = {(r["zone"], r["issued_at"] and round((hour - r["issued_at"].astimezone(UTC)).total_seconds() / 60)): r["vintage"] for r in found.collect()}
+    values = {k: v and v["iso_forecast_mw"] for k, v in rows.items()}
+    assert values == {("a", 0): 1.0, ("a", 50): 990.0, ("a", 51): 51.0, ("a", 399): 399.0, ("a", 400): None,
+                      ("a", None): None, ("b", 0): None, ("c", 0): None}
+    assert rows[("b", 0)] is not None and found.count() == 8
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()

@@ -6,12 +6,14 @@ from __future__ import annotations
 def _load() -> None:
     from tidecast.catalog import (  # noqa: F401
         aggregates,
+        fleet,
         jobs,
         joins,
         models,
         storage,
         streams,
         timeline,
+        watch,
     )
 
 

@@ -87,6 +87,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---- inputs, as DataFrames ----
 
 
+def days_of(spark, sf_dir) -> tuple:
+    """First and last UTC date of the readings."""
+    ev = read(spark, sf_dir, "events")
+    return tuple(ev.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first())
+
+
 def hourly(spark, sf_dir) -> DataFrame:
     """Hourly mean of all readings: (time, load_mw)."""
     ev = read(spark, sf_dir, "events")

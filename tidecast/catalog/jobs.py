@@ -73,7 +73,7 @@ _PROCESS_SQL = """m AS (SELECT date_trunc('minute', ts) AS start, arg_max(value,
 @query("J1_process", f"WITH {_PROCESS_SQL} SELECT time, round(load_mw, 6) AS load_mw FROM pl")
 def process_load(spark, sf):
     root = _raw_zone(spark, sf)
-    process.process(spark, root, date(2024, 1, 1), date(2024, 1, 31), b.TYPES, grain="month")
+    process.process(spark, root, *b.days_of(spark, sf), b.TYPES, grain="month")
     return rounded(tables.read_table(spark, root, tables.LOAD, schemas.LOAD_HOURLY))
 
 
@@ -93,7 +93,7 @@ def process_by_series(spark, sf):
         "series", F.col("start").alias("Interval Start"), F.col("v").alias("Load")
     )
     raw.append_raw(raw.split_by_utc_day(readings, "Interval Start"), root, RAW_LOAD, None, _AT)
-    days = ev.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    days = b.days_of(spark, sf)
     zone = [T.StructField("series", T.StringType())]
     process.process(spark, root, *days, b.TYPES, per_hour=2, grain="month", series=zone)
     schema = T.StructType([*zone, *schemas.LOAD_HOURLY.fields])
@@ -130,7 +130,7 @@ def process_counts(spark, sf):
     """Counts after running the same range twice: the second run changes nothing."""
     root = _raw_zone(spark, sf)
     for _ in range(2):
-        counts = process.process(spark, root, date(2024, 1, 1), date(2024, 1, 31), b.TYPES, grain="month")
+        counts = process.process(spark, root, *b.days_of(spark, sf), b.TYPES, grain="month")
     return spark.createDataFrame(list(counts.items()), "name string, rows long")
 
 
@@ -347,7 +347,7 @@ def next_day_view(spark, sf):
          SELECT target_day, split_part(min(model_version), '/', -1) AS version,
          strftime({local('max(issued_at)')}, '%b %-d, %-I:%M %p') AS issued,
          round((SELECT forecast_mw FROM pk), 6) AS peak_mw, strftime({local('(SELECT time FROM pk)')}, '%-I %p') AS peak_hour,
-         (SELECT CASE WHEN h > 24 THEN format('Stale data: the latest forecast was issued {{}} hours ago. The pipeline may be down.',
+         (SELECT CASE WHEN h > 24 THEN format('newest forecast is {{}} hours old, look at the daily job',
          CAST(round_even(h, 0) AS BIGINT)) END FROM ag) AS warning FROM n GROUP BY 1""",
 )
 def next_day_summary(spark, sf):
@@ -361,9 +361,9 @@ def next_day_summary(spark, sf):
     cte("load", "fbase", "rising", "forecasts")
     + f""", w AS (SELECT event_type AS key, max(value) > 450 AS firing, max(ts) AS since FROM events GROUP BY 1)
          SELECT '{_label("data_freshness")}' AS "check", 'failing' AS status,
-         format('latest demand data is {{:.1f}} h old (limit 3 h): ingestion may have stopped', (SELECT
+         format('demand ends {{:.1f}} h before now, allowed are 3 h', (SELECT
          date_diff('microsecond', max(time) + INTERVAL 1 HOUR, TIMESTAMP '2024-01-31 18:30:00') / 3.6e9 FROM load)) AS detail
-         UNION ALL SELECT '{_label("forecast_published")}', 'failing', 'no forecast for 2024-02-01 by 12:00 ET'
+         UNION ALL SELECT '{_label("forecast_published")}', 'failing', 'tomorrow (2024-02-01) has no forecast although 12:00 has passed'
          UNION ALL SELECT key, CASE WHEN firing THEN 'failing' ELSE 'ok' END,
          CASE WHEN firing THEN 'since ' || strftime(since, '%Y-%m-%d') ELSE '' END FROM w""",
 )

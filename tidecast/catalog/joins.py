@@ -321,7 +321,7 @@ def production_holdout_mape(spark, sf):
         INTERVAL 1 HOUR)) AS time FROM (SELECT DISTINCT date FROM q)),
         m AS (SELECT date, hour({b.local('time')}) AS hour, min(time) AS time FROM h GROUP BY 1, 2)
         SELECT o_orderkey, date, hour, time, CASE WHEN time IS NULL THEN
-        hour || ':00 does not exist on ' || date || ' (DST change)' END AS reject_reason
+        date || ' has no ' || hour || ':00, the clock skips it' END AS reject_reason
         FROM q LEFT JOIN m USING (date, hour)""",
 )
 def match_requested_hours(spark, sf):

@@ -13,6 +13,7 @@ from tidecast.catalog.base import cte, query, rounded
 from tidecast.catalog.joins import frame_sql
 from tidecast.catalog.storage import event_table
 from tidecast.config import TrainConfig, temp_columns
+from tidecast.functions.timeline import hours
 from tidecast.operators import registry
 from tidecast.operators.temporal import latest_vintage
 from tidecast.plans import gate, serving, training
@@ -21,24 +22,27 @@ from tidecast.plans.forecast import run_forecast
 from tidecast.session import fresh_path
 from tidecast.sources import tables
 
-CONFIG = TrainConfig(
-    "events",
-    lookback_days=20,
-    holdout_days=5,
-    stations=b.TYPES,
-    load_range=(0.0, 1e9),
-    temp_range=(-1e9, 1e9),
-    params={"n_estimators": 4, "num_leaves": 7, "learning_rate": 0.1},
-)
-DEGRADED = TrainConfig(
-    "degraded",
-    lookback_days=20,
-    holdout_days=5,
-    stations=b.TYPES,
-    load_range=(0.0, 1e9),
-    temp_range=(-1e9, 1e9),
-    params={"n_estimators": 1, "num_leaves": 2, "learning_rate": 0.01},
-)
+GOOD = {"n_estimators": 4, "num_leaves": 7, "learning_rate": 0.1}
+POOR = {"n_estimators": 1, "num_leaves": 2, "learning_rate": 0.01}
+
+
+def config_from(name: str, params: dict, load: DataFrame, weather: DataFrame) -> TrainConfig:
+    """Window and ranges of the stored tables: all whole days after the lags' warm-up."""
+    last = F.date_sub(b.local_date(F.max("time") + hours(1)), 1)
+    warm = F.min("time") + hours(max(b.LAGS)) - F.expr("INTERVAL 1 MICROSECOND")
+    days = F.datediff(last, b.local_date(warm)).alias("days")
+    row = load.agg(days, F.min("load_mw").alias("lo"), F.max("load_mw").alias("hi")).first()
+    cols = temp_columns(b.TYPES)
+    heat = weather.agg(F.min(F.least(*cols)).alias("lo"), F.max(F.greatest(*cols)).alias("hi")).first()
+    return TrainConfig(
+        name,
+        lookback_days=row["days"],
+        holdout_days=5,
+        stations=b.TYPES,
+        load_range=(row["lo"], row["hi"]),
+        temp_range=(heat["lo"], heat["hi"]),
+        params=params,
+    )
 
 
 def complete_hours(load: DataFrame, temps: DataFrame, cols: list[str]) -> DataFrame:
@@ -68,6 +72,20 @@ def model_root(spark: SparkSession, sf: str) -> str:
     return root
 
 
+def config_of(spark: SparkSession, root: str, name: str, params: dict) -> TrainConfig:
+    load = tables.read_table(spark, root, tables.LOAD, schemas.LOAD_HOURLY)
+    weather = tables.read_table(spark, root, tables.WEATHER, schemas.weather_hourly(b.TYPES))
+    return config_from(name, params, load, weather)
+
+
+def last_day_and_issue(load: DataFrame) -> tuple[date, datetime]:
+    """The last whole local day of the load, and when its forecast is due."""
+    last = load.agg(F.date_sub(b.local_date(F.max("time") + hours(1)), 1).alias("d"))
+    due = F.unix_micros(b.scheduled_issue_time(F.col("d"), b.ISSUE)).alias("at")
+    row = last.select("d", due).first()
+    return row["d"], datetime.fromtimestamp(row["at"] / 1e6, UTC)
+
+
 _TRAINED: dict[tuple[str, str], tuple[str, dict]] = {}
 
 
@@ -76,7 +94,8 @@ def trained_root(spark: SparkSession, sf: str) -> tuple[str, dict]:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _TRAINED:
         root = model_root(spark, sf)
-        _TRAINED[key] = (root, training.train(spark, CONFIG, root))
+        config = config_of(spark, root, "events", GOOD)
+        _TRAINED[key] = (root, training.train(spark, config, root))
     return _TRAINED[key]
 
 
@@ -84,7 +103,8 @@ def trained_root(spark: SparkSession, sf: str) -> tuple[str, dict]:
 def train(spark, sf):
     """Two runs of the same config: the metrics and the data hash repeat exactly."""
     root = model_root(spark, sf)
-    runs = [training.train(spark, CONFIG, root) for _ in range(2)]
+    config = config_of(spark, root, "events", GOOD)
+    runs = [training.train(spark, config, root) for _ in range(2)]
     rows = [
         (m["registry_version"], m["data_hash"], m["metrics"]["holdout_mape"], m["metrics"]["naive_holdout_mape"])
         for m in runs
@@ -238,8 +258,8 @@ def gate_decision(spark, sf):
 def run_gate(spark, sf):
     """A good model in production, a degraded candidate: the gate scores and decides."""
     root = model_root(spark, sf)
-    for config in (CONFIG, DEGRADED):
-        training.train(spark, config, root)
+    for name, params in (("events", GOOD), ("degraded", POOR)):
+        training.train(spark, config_of(spark, root, name, params), root)
     result = gate.run_gate(spark, root)
     events = tables.read_events(spark, root).orderBy("seq")
     return events.select("seq", "event", "version", "reason", F.lit(result.decision).alias("decision"))
@@ -300,15 +320,19 @@ def rollback(spark, sf):
 @query(
     "M11_run_forecast",
     _FULL_SQL
-    + """ SELECT s.time, round(n.load_mw, 6) AS naive_mw, 'tidecast-gbt/v1' AS model_version,
-         TIMESTAMP '2024-01-28 15:30:00' AS issued_at, DATE '2024-01-29' AS target_day, true AS has_forecast
-         FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-29 05:00:00', TIMESTAMP '2024-01-30 04:00:00',
-         INTERVAL 1 HOUR)) AS time) s LEFT JOIN full_load n ON n.time = s.time - INTERVAL 168 HOUR""",
+    + f""", target AS (SELECT CAST({b.local("hi + INTERVAL 1 HOUR")} AS DATE) - 1 AS day FROM bo)
+         SELECT s.time, round(n.load_mw, 6) AS naive_mw, 'tidecast-gbt/v1' AS model_version,
+         {b.issue_sql("day")} AS issued_at, day AS target_day, true AS has_forecast
+         FROM (SELECT day, unnest(generate_series({b.utc("day")}, {b.utc("day + 1")} - INTERVAL 1 HOUR,
+         INTERVAL 1 HOUR)) AS time FROM target) s LEFT JOIN full_load n ON n.time = s.time - INTERVAL 168 HOUR""",
 )
 def forecast(spark, sf):
+    """The last whole day of the readings, as of its scheduled issue."""
     root, _ = trained_root(spark, sf)
     temps = tables.read_table(spark, root, tables.WEATHER, schemas.weather_hourly(b.TYPES))
-    out = run_forecast(spark, root, temps, date(2024, 1, 29), datetime(2024, 1, 28, 15, 30, tzinfo=UTC), grain="month")
+    load = tables.read_table(spark, root, tables.LOAD, schemas.LOAD_HOURLY)
+    day, at = last_day_and_issue(load)
+    out = run_forecast(spark, root, temps, day, at, grain="month")
     kept = out.select("time", "naive_mw", "model_version", "issued_at", "target_day", "forecast_mw")
     return rounded(kept.withColumn("has_forecast", F.col("forecast_mw").isNotNull()).drop("forecast_mw"))
 

@@ -19,7 +19,6 @@ from tidecast.sources import raw, tables
 
 _FIRST = datetime(2024, 2, 1, 0, 0, tzinfo=UTC)
 _SECOND = datetime(2024, 2, 1, 6, 30, tzinfo=UTC)
-_START, _END = date(2024, 1, 1), date(2024, 1, 31)
 
 
 def raw_load(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,27 +65,27 @@ _TWO = """SELECT ts, value, event_type, TIMESTAMP '2024-02-01 00:00:00' AS fetch
 )
 def with_fetched_at(spark, sf):
     root = _two_fetches(spark, sf)
-    rows = raw.read_raw(spark, root, "load", schemas.RAW_LOAD, _START, _END)
+    rows = raw.read_raw(spark, root, "load", schemas.RAW_LOAD, *b.days_of(spark, sf))
     return rows.groupBy("fetched_at", "date").agg(F.count("*").alias("readings"))
 
 
 @query("A3_append_raw", f"SELECT ts AS interval_start, value AS load, fetched_at FROM ({_TWO})")
 def append_raw(spark, sf):
     root = _two_fetches(spark, sf)
-    return _plain_names(raw.read_raw(spark, root, "load", schemas.RAW_LOAD, _START, _END).drop("date"))
+    return _plain_names(raw.read_raw(spark, root, "load", schemas.RAW_LOAD, *b.days_of(spark, sf)).drop("date"))
 
 
 @query(
     "A4_missing_partitions",
-    """SELECT day FROM (SELECT CAST(unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31',
-       INTERVAL 1 DAY)) AS DATE) AS day) ANTI JOIN
+    """SELECT day FROM (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day
+       FROM (SELECT date_trunc('day', min(ts))::TIMESTAMP AS lo, date_trunc('day', max(ts))::TIMESTAMP AS hi FROM events)) ANTI JOIN
        (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events WHERE value > 350) USING (day)""",
 )
 def missing_partitions(spark, sf):
     root = fresh_path(spark, "raw-zone")
     large = raw_load(spark, sf).where("Load > 350").drop("event_type")
     raw.append_raw(large, root, "load", None, _FIRST)
-    return raw.missing_partitions(spark, root, "load", _START, _END)
+    return raw.missing_partitions(spark, root, "load", *b.days_of(spark, sf))
 
 
 @query(
@@ -100,13 +99,14 @@ def backfill_resume(spark, sf):
     rows = raw_load(spark, sf).drop("event_type")
     raw.append_raw(rows.where("Load > 350"), root, "seen", None, _FIRST)
     raw.append_raw(rows.where("Load > 350"), root, "load", None, _FIRST)
-    have = raw.read_raw(spark, root, "seen", schemas.RAW_LOAD, _START, _END)
+    have = raw.read_raw(spark, root, "seen", schemas.RAW_LOAD, *b.days_of(spark, sf))
     new = rows.join(have.select("date").distinct(), "date", "left_anti")
+    days = b.days_of(spark, sf)
     for _ in range(2):
-        raw.backfill(new.drop("date"), root, "load", _START, _END, _SECOND, "Interval Start")
+        raw.backfill(new.drop("date"), root, "load", *days, _SECOND, "Interval Start")
     kept = rows.where("Load <= 350").join(have.select("date").distinct(), "date", "left_semi")
     raw.append_raw(kept, root, "load", None, _SECOND)
-    got = raw.read_raw(spark, root, "load", schemas.RAW_LOAD, _START, _END)
+    got = raw.read_raw(spark, root, "load", schemas.RAW_LOAD, *b.days_of(spark, sf))
     before = have.groupBy("date").agg(F.count("*").alias("before"))
     after = got.groupBy("date").agg(F.count("*").alias("after"))
     return after.join(before, "date", "left").fillna(0, ["before"]).select("date", "before", "after")
@@ -263,9 +263,9 @@ def append_event(spark, sf):
     + ", ".join(f"avg({c}) AS {c}" for c in ERROR_COLUMNS)
     + """ FROM (SELECT * FROM errors ORDER BY target_day DESC LIMIT 7))
          SELECT TIMESTAMP '2024-01-31 18:30:00' AS checked_at,
-         format('latest demand data is {:.1f} h old (limit 3 h): ingestion may have stopped',
+         format('demand ends {:.1f} h before now, allowed are 3 h',
          (SELECT date_diff('microsecond', max(time) + INTERVAL 1 HOUR, TIMESTAMP '2024-01-31 18:30:00') / 3.6e9 FROM load))
-         AS data_freshness, 'no forecast for 2024-02-01 by 12:00 ET' AS forecast_published,
+         AS data_freshness, 'tomorrow (2024-02-01) has no forecast although 12:00 has passed' AS forecast_published,
          'firing data_freshness, firing forecast_published' AS alerts_sent, round(model_mape, 5) AS model_mape_7d FROM w""",
 )
 def write_status(spark, sf):

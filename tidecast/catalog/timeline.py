@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tidecast.catalog import base as b
 from tidecast.catalog.base import cte, issue_sql, local, query, r, utc
 from tidecast.functions import scalars, timeline
-from tidecast.functions.timeline import FEDERAL_HOLIDAYS
 from tidecast.operators import aggregates, quality, temporal
 from tidecast.operators.drift import psi_status
 
@@ -44,21 +43,21 @@ def scheduled_issue_time(spark, sf):
 
 
 def _holiday_sql(d: str) -> str:
-    """The holiday rules spelled out for SQL: dated ones with their observed days."""
-    tests = []
-    for first, month, lo, hi, weekday in FEDERAL_HOLIDAYS.values():
-
-        def hit(x: str) -> str:
-            return (
-                f"(year({x}) >= {first} AND month({x}) = {month} AND day({x}) BETWEEN {lo} AND {hi}"
-                + (f" AND isodow({x}) = {weekday + 1})" if weekday is not None else ")")
-            )
-
-        tests.append(hit(d))
-        if weekday is None:
-            tests.append(f"(isodow({d}) = 5 AND {hit(f'({d} + 1)')})")
-            tests.append(f"(isodow({d}) = 1 AND {hit(f'({d} - 1)')})")
-    return "(" + " OR ".join(tests) + ")"
+    """The federal holidays from 1978 on, written out by hand: dates with their observed days, and
+    the n-th (or last) weekday of a month."""
+
+    def dated(x: str) -> str:
+        return (
+            f"strftime({x}, '%m-%d') IN ('01-01', '07-04', '11-11', '12-25') "
+            f"OR (strftime({x}, '%m-%d') = '06-19' AND year({x}) >= 2021)"
+        )
+
+    nth = f"((day({d}) + 6) // 7)"
+    return f"""({dated(d)} OR (isodow({d}) = 5 AND ({dated(f"({d} + 1)")}))
+        OR (isodow({d}) = 1 AND ({dated(f"({d} - 1)")}))
+        OR (isodow({d}) = 1 AND ((month({d}) = 1 AND {nth} = 3 AND year({d}) >= 1986) OR (month({d}) = 2 AND {nth} = 3)
+          OR (month({d}) = 5 AND month({d} + 7) = 6) OR (month({d}) = 9 AND {nth} = 1) OR (month({d}) = 10 AND {nth} = 2)))
+        OR (isodow({d}) = 4 AND month({d}) = 11 AND {nth} = 4))"""
 
 
 @query(

@@ -135,7 +135,8 @@ def _falls_on(day: Column, rule: tuple) -> Column:
 def holiday_name(day: Column) -> Column:
     """Name of the federal holiday kept on ``day`` (observed days included), else NULL.
 
-    A dated holiday on a Saturday is also kept on Friday, one on a Sunday also on Monday.
+    A dated holiday on a Saturday is also kept on Friday, one on a Sunday also on Monday. The rules
+    are those in force from 1978 on; earlier years lack what was kept by other rules then.
     The rules are plain column arithmetic: no lookup join, no pass to find the years.
     """
     found = [F.when(_falls_on(day, r), F.lit(n)) for n, r in FEDERAL_HOLIDAYS.items()]

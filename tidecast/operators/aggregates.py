@@ -150,38 +150,55 @@ def daily_peak(forecast: DataFrame, by: Cols = ("target_day",), value_col: str =
     )
 
 
-def freshness(load: DataFrame, forecasts: DataFrame, now: Column, tz: str = LOCAL_TZ) -> DataFrame:
-    """The checks ``data_freshness`` and ``forecast_published`` as (key, problem) rows."""
+def freshness(
+    load: DataFrame,
+    forecasts: DataFrame,
+    now: Column,
+    tz: str = LOCAL_TZ,
+    series: Cols = (),
+    known: DataFrame | None = None,
+) -> DataFrame:
+    """The checks ``data_freshness`` and ``forecast_published`` as (series..., key, problem) rows.
+
+    With ``series`` the rows are those of ``known`` (one row per series), so that a series that
+    has never had an hour or a forecast is told too. Both sides shrink to one row per series
+    before they meet.
+    """
     limit = MAX_DATA_AGE_HOURS
     age = (F.unix_micros(now) - F.unix_micros(F.col("last"))) / F.lit(3.6e9) - 1
-    stale = load.agg(F.max("time").alias("last")).select(
-        F.lit("data_freshness").alias("key"),
-        F.when(F.col("last").isNull(), F.lit("no processed demand data found"))
-        .when(
-            age > limit,
-            F.format_string(
-                f"latest demand data is %.1f h old (limit {limit} h): ingestion may have stopped", age
-            ),
-        )
-        .alias("problem"),
-    )
     local_now = local_time(now, tz)
     tomorrow = F.date_add(F.to_date(local_now), 1)
     due = local_now >= F.to_date(local_now).cast("timestamp") + clock(FORECAST_DUE_LOCAL)
-    published = forecasts.agg(F.coalesce(F.max(F.col("target_day") == tomorrow), F.lit(False)).alias("ok"))
+    ends = load.groupBy(*series).agg(F.max("time").alias("last"))
+    published = forecasts.groupBy(*series).agg(
+        F.coalesce(F.max(F.col("target_day") == tomorrow), F.lit(False)).alias("ok")
+    )
+    if series:
+        every = known.select(*series)
+        ends, published = (every.join(df, list(series), "left") for df in (ends, published))
+    stale = ends.select(
+        *series,
+        F.lit("data_freshness").alias("key"),
+        F.when(F.col("last").isNull(), F.lit("demand has no processed hour at all"))
+        .when(age > limit, F.format_string(f"demand ends %.1f h before now, allowed are {limit} h", age))
+        .alias("problem"),
+    )
     text = F.concat(
-        F.lit("no forecast for "), tomorrow.cast("string"), F.lit(f" by {FORECAST_DUE_LOCAL} ET")
+        F.lit("tomorrow ("),
+        tomorrow.cast("string"),
+        F.lit(f") has no forecast although {FORECAST_DUE_LOCAL} has passed"),
     )
+    absent = due & ~F.coalesce("ok", F.lit(False))
     missing = published.select(
-        F.lit("forecast_published").alias("key"), F.when(due & ~F.col("ok"), text).alias("problem")
+        *series, F.lit("forecast_published").alias("key"), F.when(absent, text).alias("problem")
     )
     return stale.unionByName(missing)
 
 
 # What the watchdog looks at.
 HEARTBEATS = {
-    "load": ("watchdog_data_freshness", "Demand data", "demand data"),
-    "monitor": ("watchdog_monitor_heartbeat", "The monitoring job", "the monitoring job"),
+    "load": ("watchdog_data_freshness", "demand data"),
+    "monitor": ("watchdog_monitor_heartbeat", "monitor status"),
 }
 FORECAST_HEARTBEAT = ("forecast", "watchdog_forecast_published")
 
@@ -199,32 +216,33 @@ def watchdog(heartbeats: DataFrame, now: Column, tz: str = LOCAL_TZ, by: Cols =
     names = [*HEARTBEATS, FORECAST_HEARTBEAT[0]]
     seen = heartbeats.groupBy(*by).agg(*[newest(n).alias(f"_{n}") for n in names])
     checks = []
-    for name, (key, what, lower) in HEARTBEATS.items():
+    for name, (key, what) in HEARTBEATS.items():
         age = (F.unix_micros(now) - F.unix_micros(F.col(f"_{name}"))) / F.lit(3.6e9)
         problem = F.when(
-            F.col(f"_{name}").isNull(), F.lit(f"No record of {lower} in the data bucket")
-        ).when(age > limit, F.format_string(f"{what} last updated %.1f h ago (limit {limit} h)", age))
+            F.col(f"_{name}").isNull(), F.lit(f"{what}: never written")
+        ).when(age > limit, F.format_string(f"{what}: last write %.1f h ago, allowed are {limit} h", age))
         checks.append(F.struct(F.lit(key).alias("key"), problem.alias("problem")))
     local_now = local_time(now, tz)
     today = F.to_date(local_now)
     due = local_now >= today.cast("timestamp") + clock(FORECAST_DUE_LOCAL)
     written = F.coalesce(local_date(F.col(f"_{FORECAST_HEARTBEAT[0]}"), tz) >= today, F.lit(False))
     text = F.concat(
-        F.lit("No forecast written today ("),
+        F.lit("forecast: nothing written on "),
         today.cast("string"),
-        F.lit(f") by {FORECAST_DUE_LOCAL} ET"),
+        F.lit(f" although {FORECAST_DUE_LOCAL} has passed"),
     )
     problem = F.when(due & ~written, text)
     checks.append(F.struct(F.lit(FORECAST_HEARTBEAT[1]).alias("key"), problem.alias("problem")))
     return seen.select(*by, F.inline(F.array(*checks)))
 
 
-def staleness(forecasts: DataFrame, now: Column) -> DataFrame:
-    """The newest issue and, when older than a day, a warning that states its age."""
+def staleness(forecasts: DataFrame, now: Column, series: Cols = ()) -> DataFrame:
+    """The newest issue (per series) and, when older than a day, a warning that states its age."""
     age = (F.unix_micros(now) - F.unix_micros(F.col("latest_issue"))) / F.lit(3.6e9)
     note = F.format_string(
-        "Stale data: the latest forecast was issued %d hours ago. The pipeline may be down.",
-        F.bround(age).cast("long"),
+        "newest forecast is %d hours old, look at the daily job", F.bround(age).cast("long")
+    )
+    newest = forecasts.groupBy(*series).agg(F.max("issued_at").alias("latest_issue"))
+    return newest.select(
+        *series, "latest_issue", F.when(age > STALE_FORECAST_HOURS, note).alias("warning")
     )
-    newest = forecasts.agg(F.max("issued_at").alias("latest_issue"))
-    return newest.select("latest_issue", F.when(age > STALE_FORECAST_HOURS, note).alias("warning"))

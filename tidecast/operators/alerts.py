@@ -7,6 +7,8 @@ message, failing to healthy resolves, anything else is silent.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,23 +24,22 @@ _REMIND_US = REMIND_AFTER_HOURS * _HOUR_US
 SUBJECTS = {"firing": "FIRING", "reminder": "STILL FIRING", "resolved": "RESOLVED"}
 
 
-def with_texts(events: DataFrame) -> DataFrame:
-    """Adds subject and body to (key, at, event, since, problem)."""
+def with_texts(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Adds subject and body to (by..., key, at, event, since, problem)."""
     since = iso_text(F.col("since"))
+    name = F.col("key")
+    if by:
+        name = F.concat(name, F.lit(" of "), F.concat_ws("/", *[F.col(c).cast("string") for c in by]))
     subject = F.lit(None).cast("string")
     for event, word in SUBJECTS.items():
-        subject = F.when(F.col("event") == event, F.concat(F.lit(f"{word}: "), F.col("key"))).otherwise(
-            subject
-        )
+        subject = F.when(F.col("event") == event, F.concat(F.lit(f"{word}: "), name)).otherwise(subject)
     body = (
         F.when(F.col("event") == "firing", F.col("problem"))
         .when(
             F.col("event") == "reminder",
-            F.concat(F.lit("Still failing since "), since, F.lit(": "), F.col("problem")),
-        )
-        .otherwise(
-            F.concat(F.col("key"), F.lit(" is healthy again (was failing since "), since, F.lit(")."))
+            F.concat(F.lit("unresolved since "), since, F.lit(": "), F.col("problem")),
         )
+        .otherwise(F.concat(name, F.lit(" passes again, it had failed from "), since))
     )
     return events.withColumns({"subject": subject, "body": body})
 
@@ -192,16 +193,71 @@ def alert_state(checks: DataFrame, transitions: DataFrame) -> DataFrame:
     )
 
 
-def advance_state(state: DataFrame, checks: DataFrame, now: Column) -> DataFrame:
+def _seeds(state: DataFrame) -> DataFrame:
+    """A failing check at the last message of every key that is firing: what a later log goes on
+    from, as reminders count from the last message."""
+    return state.where("firing").select(
+        "key", F.col("last_sent").alias("at"), F.coalesce("message", F.lit("?")).alias("problem")
+    )
+
+
+def resume_transitions(state: DataFrame, checks: DataFrame) -> DataFrame:
+    """``alert_transitions`` of a log that goes on from ``state`` (one row per key, as
+    ``alert_state`` gives it). All checks are later than the messages in ``state``; the cost is that
+    of the segment and one row per firing key, whatever came before."""
+    moves = alert_transitions(checks.select("key", "at", "problem").unionByName(_seeds(state)))
+    seeds = state.where("firing").select(
+        "key", F.col("last_sent").alias("since"), F.col("since").alias("_since"), F.lit(True).alias("_seed")
+    )
+    found = moves.join(seeds, ["key", "since"], "left")
+    seeded = F.coalesce("_seed", F.lit(False))
+    told = found.where(~(seeded & (F.col("event") == "firing"))).withColumn(
+        "since", F.when(seeded, F.col("_since")).otherwise(F.col("since"))
+    )
+    return with_texts(told.select("key", "at", "event", "since", "problem"))
+
+
+def resume_state(state: DataFrame, checks: DataFrame, transitions: DataFrame) -> DataFrame:
+    """``alert_state`` after a segment: what the segment says, else what ``state`` said."""
+    fields = ("firing", "since", "last_sent", "resolved_at", "message")
+    was = state.select("key", *[F.col(c).alias(f"_{c}") for c in fields])
+    problem = present(F.col("problem"))
+    seen = checks.groupBy("key").agg(
+        F.max_by(problem, F.when(problem.isNotNull(), F.col("at"))).alias("_told")
+    )
+    turn = F.when(F.col("event") != "reminder", F.struct("at", "event"))
+    last = transitions.groupBy("key").agg(
+        F.max(turn)["event"].alias("_turn"),
+        F.max(F.when(F.col("event") == "firing", F.col("at"))).alias("_from"),
+        F.max(F.when(F.col("event") != "resolved", F.col("at"))).alias("_sent"),
+        F.max(F.when(F.col("event") == "resolved", F.col("at"))).alias("_healed"),
+    )
+    both = was.join(seen, "key", "full").join(last, "key", "left")
+    firing = F.coalesce(F.col("_turn") == "firing", F.col("_firing"), F.lit(False))
+    return both.select(
+        "key",
+        firing.alias("firing"),
+        F.when(firing, F.coalesce("_from", "_since")).alias("since"),
+        F.when(firing, F.coalesce("_sent", "_last_sent")).alias("last_sent"),
+        F.when(~firing, F.coalesce("_healed", "_resolved_at")).alias("resolved_at"),
+        F.when(firing, F.coalesce("_told", "_message")).alias("message"),
+    )
+
+
+def advance_state(
+    state: DataFrame, checks: DataFrame, now: Column, by: Sequence[str] = ()
+) -> DataFrame:
     """One monitoring run: the stored state (one row per key) meets one check per key.
 
-    Returns the new state columns plus event, subject and body of what is to be sent.
+    Returns the new state columns plus event, subject and body of what is to be sent. ``by`` puts
+    the columns of a series in front of the key.
     """
+    keys = [*by, "key"]
     was = state.select(
-        "key", *[F.col(c).alias(f"_{c}") for c in ("firing", "since", "last_sent", "resolved_at", "message")]
+        *keys, *[F.col(c).alias(f"_{c}") for c in ("firing", "since", "last_sent", "resolved_at", "message")]
     )
-    here = checks.select("key", present(F.col("problem")).alias("problem"), F.lit(True).alias("_checked"))
-    both = was.join(here, "key", "full")
+    here = checks.select(*keys, present(F.col("problem")).alias("problem"), F.lit(True).alias("_checked"))
+    both = was.join(here, keys, "full")
     checked = F.coalesce("_checked", F.lit(False))
     was_firing = F.coalesce("_firing", F.lit(False))
     fails = checked & F.col("problem").isNotNull()
@@ -213,7 +269,7 @@ def advance_state(state: DataFrame, checks: DataFrame, now: Column) -> DataFrame
         .when(heals, "resolved")
     )
     out = both.withColumn("event", event).select(
-        "key",
+        *keys,
         F.when(checked, fails).otherwise(was_firing).alias("firing"),
         F.when(F.col("event") == "firing", now).when(~heals, F.col("_since")).alias("since"),
         F.when(F.col("event").isin("firing", "reminder"), now)
@@ -229,4 +285,5 @@ def advance_state(state: DataFrame, checks: DataFrame, now: Column) -> DataFrame
         F.when(heals, F.col("_since")).alias("_was_since"),
     )
     told = out.withColumns({"_keep": F.col("since"), "since": F.coalesce("_was_since", "since")})
-    return with_texts(told).withColumn("since", F.col("_keep")).drop("_keep", "_was_since", "problem")
+    texts = with_texts(told, by)
+    return texts.withColumn("since", F.col("_keep")).drop("_keep", "_was_since", "problem")

@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from tidecast.config import LOCAL_TZ, MIN_SCORED_DAYS
 from tidecast.functions.timeline import local_midnight, target_hours
-from tidecast.operators.temporal import align_inner, forecast_in_force, per_series
+from tidecast.operators.temporal import (
+    align_inner,
+    forecast_in_force,
+    newest_vintage,
+    per_series,
+    vintage_at,
+)
 from tidecast.session import materialize
 
 Cols = Sequence[str]
@@ -35,7 +41,7 @@ def mape(actual: DataFrame, forecast: DataFrame, a: str, f: str, on: Cols = ("ti
     common = align_inner(actual, forecast, on)
     value = common.agg(mape_strict(F.col(a), F.col(f)).alias("m")).first()["m"]
     if value is None:
-        raise ValueError("no overlapping non-zero hours to score")
+        raise ValueError("nothing to score: no common hour with an actual other than zero")
     return value
 
 
@@ -63,23 +69,16 @@ def score_days(
     issue = materialize(issue, "score-issue")
     wanted = target_hours(issue.select(*day, "issued_at"), "target_day", tz)
     actual = load.select(*series, "time", F.col("load_mw").alias("_actual"), F.lit(1).alias("_hit"))
-    fair = (F.col("vintage") == "day_ahead") & (F.col("forecast_time") <= F.col("issued_at"))
-    newest = {
-        name: F.max_by(
-            "iso_forecast_mw", F.when(cond, F.struct("forecast_time", "iso_forecast_mw"))
-        ).alias(name)
-        for name, cond in (("_da", fair), ("_sd", F.col("vintage") == "same_day"))
-    }
-    vintages = (
-        wanted.join(iso, [*series, "time"])
-        .groupBy(*hour)
-        .agg(*newest.values())
+    ahead = vintage_at(iso.where("vintage = 'day_ahead'"), wanted, "issued_at", series).select(
+        *series, "time", "issued_at", F.col("vintage.iso_forecast_mw").alias("_da")
     )
+    same = newest_vintage(iso.where("vintage = 'same_day'"), series, "_sd")
     ours = chosen.select(*hour, "forecast_mw", "naive_mw")
     lines = (
         wanted.join(actual, [*series, "time"], "left")
         .join(ours, hour, "left")
-        .join(vintages, hour, "left")
+        .join(ahead, [*series, "time", "issued_at"], "left")
+        .join(same, [*series, "time"], "left")
     )
     errors = {
         "model_mape": "forecast_mw",
@@ -122,11 +121,15 @@ def rolling_error_history(errors: DataFrame, n: int, series: Cols = ()) -> DataF
 
 
 def check_performance(
-    errors: DataFrame, holdout: Column, series: Cols = (), min_days: int = MIN_SCORED_DAYS
+    errors: DataFrame,
+    holdout: Column | DataFrame,
+    series: Cols = (),
+    min_days: int = MIN_SCORED_DAYS,
 ) -> DataFrame:
     """Alert texts (array) when the last seven scored days are clearly too bad.
 
-    Silent below ``min_days`` scored days; a NULL or zero ``holdout`` skips that test.
+    Silent below ``min_days`` scored days; a NULL or zero ``holdout`` skips that test. A frame of
+    (series..., holdout_mape) gives each series its own.
     """
     newest = per_series(series).orderBy(F.desc("target_day"))
     week = F.col("_rn") <= 7
@@ -135,17 +138,14 @@ def check_performance(
         F.avg(F.when(week, F.col("model_mape"))).alias("_model"),
         F.avg(F.when(week, F.col("naive_mape"))).alias("_naive"),
     )
+    if isinstance(holdout, DataFrame):
+        got = got.join(holdout.select(*series, "holdout_mape"), list(series), "left")
+        holdout = F.col("holdout_mape")
     model, naive = F.col("_model"), F.col("_naive")
     enough = F.col("_days") >= min_days
-    no_better = F.format_string(
-        "7-day forecast error %.1f%% is no better than the naive baseline (%.1f%%)", model, naive
-    )
-    doubled = F.format_string(
-        "7-day forecast error %.1f%% is more than twice the production model's "
-        "holdout error (%.1f%%)",
-        model,
-        holdout,
-    )
+    errs = "over 7 scored days the model errs by %.1f%%, "
+    no_better = F.format_string(f"{errs}the values of the week before by %.1f%%", model, naive)
+    doubled = F.format_string(f"{errs}beyond double the %.1f%% of its holdout", model, holdout)
     alerts = F.array(
         F.when(enough & (model >= naive), no_better),
         F.when(enough & (holdout != 0) & (model > 2 * holdout), doubled),

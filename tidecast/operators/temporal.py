@@ -194,20 +194,49 @@ def _newest(value: str, condition: Column) -> Column:
     return F.max_by(F.struct(value), F.when(condition, F.struct("forecast_time", value)))[value]
 
 
+def newest_vintage(iso: DataFrame, series: Cols = (), out_col: str = "iso_mw") -> DataFrame:
+    """(series..., time, out_col): the value issued last for each hour, whenever that was."""
+    value = _newest("iso_forecast_mw", F.lit(True)).alias(out_col)
+    return iso.groupBy(*series, "time").agg(value)
+
+
+def vintage_at(
+    iso: DataFrame, targets: DataFrame, issued_col: str = "issued_at", series: Cols = ()
+) -> DataFrame:
+    """Every distinct (series..., time, issued_col) of ``targets`` with ``vintage``, the newest row
+    of ``iso`` issued no later, as a struct (forecast_time, iso_forecast_mw), or NULL.
+
+    Issues and vintages of one hour of one series lie in one ordered window and the last vintage
+    is carried on, so there are as many rows as issues and vintages together, and no issue ever
+    meets all vintages of its hour. Of vintages of one instant the largest value counts.
+    """
+    hour = [*series, "time"]
+    row = F.struct("forecast_time", "iso_forecast_mw")
+    nothing = F.lit(None)
+    offered = iso.where("forecast_time IS NOT NULL").select(
+        *hour, F.col("forecast_time").alias("_at"), F.lit(0).alias("_ask"), row.alias("_v")
+    )
+    asks = targets.select(*hour, issued_col).distinct().withColumns(
+        {"_at": F.col(issued_col), "_ask": F.lit(1), "_v": nothing.cast(offered.schema["_v"].dataType)}
+    )
+    so_far = (
+        Window.partitionBy(*hour)
+        .orderBy("_at", "_ask", "_v")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    merged = asks.unionByName(offered, allowMissingColumns=True)
+    carried = merged.withColumn("vintage", F.last("_v", ignorenulls=True).over(so_far))
+    return carried.where("_ask = 1").select(*hour, issued_col, "vintage")
+
+
 def vintage_asof(
     iso: DataFrame, targets: DataFrame, issued_col: str = "issued_at", series: Cols = ()
 ) -> DataFrame:
     """The newest day-ahead vintage issued no later than our own forecast."""
     ours = [*series, "time", issued_col]
-    fair = F.col("forecast_time") <= F.col(issued_col)
-    offered = iso.where(F.col("vintage") == "day_ahead").drop("vintage")
-    newest = (
-        targets.select(*ours)
-        .distinct()
-        .join(offered, [*series, "time"])
-        .where(fair)
-        .groupBy(*ours)
-        .agg(_newest("iso_forecast_mw", F.lit(True)).alias("iso_day_ahead_mw"))
+    offered = iso.where(F.col("vintage") == "day_ahead")
+    newest = vintage_at(offered, targets, issued_col, series).select(
+        *ours, F.col("vintage.iso_forecast_mw").alias("iso_day_ahead_mw")
     )
     return targets.join(newest, ours, "left")
 
@@ -221,21 +250,24 @@ def vintage_or_fallback(
 ) -> DataFrame:
     """Fair day-ahead values if any hour of the day has one, else same-day, with the label."""
     ours = [*series, day_col, "time", issued_col]
-    fair = (F.col("vintage") == "day_ahead") & (F.col("forecast_time") <= F.col(issued_col))
-    same = F.col("vintage") == "same_day"
+    ahead = iso.where(F.col("vintage") == "day_ahead")
+    fair = vintage_at(ahead, targets, issued_col, series).select(
+        *series,
+        "time",
+        issued_col,
+        F.col("vintage.iso_forecast_mw").alias("_fair"),
+        F.col("vintage").isNotNull().alias("_has_fair"),
+    )
+    same = newest_vintage(iso.where(F.col("vintage") == "same_day"), series, "_same")
     offered = (
         targets.select(*ours)
         .distinct()
-        .join(iso, [*series, "time"], "left")
-        .groupBy(*ours)
-        .agg(
-            _newest("iso_forecast_mw", fair).alias("_fair"),
-            _newest("iso_forecast_mw", same).alias("_same"),
-            F.max(F.coalesce(fair, F.lit(False))).alias("_has_fair"),
-        )
+        .join(fair, [*series, "time", issued_col], "left")
+        .join(same, [*series, "time"], "left")
     )
     day = Window.partitionBy(*series, day_col, issued_col)
-    chosen = offered.withColumn("_fair_day", F.max("_has_fair").over(day)).select(
+    has_fair = F.max(F.coalesce("_has_fair", F.lit(False))).over(day)
+    chosen = offered.withColumn("_fair_day", has_fair).select(
         *ours,
         F.when(F.col("_fair_day"), F.col("_fair")).otherwise(F.col("_same")).alias("iso_mw"),
         F.when(F.col("_fair_day"), "ISO-NE day-ahead").otherwise("ISO-NE same-day").alias("iso_label"),

@@ -29,7 +29,7 @@ def match_requested_hours(
     reason = F.when(
         F.col("time").isNull(),
         F.format_string(
-            "%d:00 does not exist on %s (DST change)", F.col(hour_col), F.col(date_col).cast("string")
+            "%s has no %d:00, the clock skips it", F.col(date_col).cast("string"), F.col(hour_col)
         ),
     )
     found = requests.join(first, [date_col, hour_col], "left")
@@ -57,6 +57,7 @@ def request_features(
     lags: Sequence[int],
     stations: Sequence[str] = STATIONS,
     tz: str = LOCAL_TZ,
+    series: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """(features of good requests, rejects with ``reject_reason``).
 
@@ -71,18 +72,21 @@ def request_features(
     issue = F.least(scheduled_issue_time(F.col("date"), issue_local, tz), now)
     # ``hour`` comes back as the local hour from the calendar features, with the same value.
     targets = good.withColumn("issue_time", issue).drop("hour")
-    pairs = targets.select("time", "issue_time").distinct()
-    shared = build_features(load, _no_weather(pairs, stations), pairs, lags, "issue_time", stations, (), tz)
+    pairs = targets.select(*series, "time", "issue_time").distinct()
+    none = _no_weather(pairs, stations, series)
+    shared = build_features(load, none, pairs, lags, "issue_time", stations, series, tz)
     own = [f"temp_{s}" for s in stations]
     feats = shared.drop(*own, "temp_mean")
     names = [*own, "temp_mean"]
-    joined = targets.join(feats, ["time", "issue_time"])
+    joined = targets.join(feats, [*series, "time", "issue_time"])
     return joined.withColumns({name: F.col("temperature_c") for name in names}), rejects
 
 
-def _no_weather(pairs: DataFrame, stations: Sequence[str]) -> DataFrame:
+def _no_weather(
+    pairs: DataFrame, stations: Sequence[str], series: Sequence[str] = ()
+) -> DataFrame:
     empty = [F.lit(None).cast("double").alias(f"temp_{s}") for s in stations]
-    return pairs.select("time").distinct().select("time", *empty)
+    return pairs.select(*series, "time").distinct().select(*series, "time", *empty)
 
 
 def score_requests(

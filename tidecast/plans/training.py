@@ -199,18 +199,10 @@ def train(
     }
     for needed in ("holdout_mape", "naive_holdout_mape"):
         if needed not in meta["metrics"]:
-            raise ValueError("no overlapping non-zero hours to score")
+            raise ValueError("nothing to score: no common hour with an actual other than zero")
     return register(spark, root, model, meta, cfg.name)
 
 
-def flatten(nested: dict, prefix: str = "") -> dict:
-    """Nested settings to dotted keys."""
-    out: dict = {}
-    for k, v in nested.items():
-        out.update(flatten(v, f"{prefix}{k}.") if isinstance(v, dict) else {f"{prefix}{k}": v})
-    return out
-
-
 def register(spark: SparkSession, root: str, model: PipelineModel, meta: dict, name: str) -> dict:
     """Stores the model as the next version. It becomes the candidate; a first one is
     promoted at once."""
@@ -273,5 +265,5 @@ def load_version(spark: SparkSession, root: str, version: str) -> tuple[Pipeline
 def load_production(spark: SparkSession, root: str) -> tuple[PipelineModel, dict]:
     now = registry.production_version(tables.read_events(spark, root)).first()
     if now is None:
-        raise LookupError("no production version; train and promote a model first")
+        raise LookupError("nothing is in production yet")
     return load_version(spark, root, now["version"])

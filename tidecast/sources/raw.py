@@ -59,11 +59,22 @@ def split_by_utc_day(df: DataFrame, time_col: str = "time") -> DataFrame:
 def append_raw(
     df: DataFrame, root: str, source: str, day: date | None, fetched_at: datetime
 ) -> None:
-    """Adds one fetch. ``day=None`` keeps the ``date`` column the rows already carry."""
+    """Adds one fetch. ``day=None`` keeps the ``date`` column the rows already carry.
+
+    A fetch is one call: the folder of (day, stamp) is its own, so a call that is tried again
+    writes it anew and no row comes twice; other fetches are never touched. Rows are brought
+    together by day first (a large day is split), so a task does not write a file for every day.
+    """
     label = stamp(fetched_at)
     dated = df if day is None else df.withColumn("date", F.lit(day))
     stamped = dated.withColumn("fetched_at", F.lit(label))
-    stamped.write.mode("append").partitionBy("date", "fetched_at").parquet(raw_path(root, source))
+    (
+        stamped.hint("rebalance", "date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date", "fetched_at")
+        .parquet(raw_path(root, source))
+    )
 
 
 def archive_snapshot(df: DataFrame, root: str, source: str, captured_at: datetime) -> None:

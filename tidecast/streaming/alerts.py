@@ -21,7 +21,7 @@ def _row(**columns) -> StructType:
 _TS, _S = TimestampType(), StringType()
 _STATE = _row(firing=BooleanType(), since=_TS, last_sent=_TS)
 _OUT = _row(key=_S, at=_TS, event=_S, since=_TS, problem=_S)
-_SEEN = _row(modified_at=_TS)
+_SEEN = _row(modified_at=_TS, written=BooleanType())
 _CHECK = _row(key=_S, at=_TS, problem=_S)
 _REMIND = timedelta(hours=REMIND_AFTER_HOURS)
 _RECHECK_MS = 3_600_000
@@ -67,31 +67,42 @@ class AlertProcessor(StatefulProcessor):
 
 class HeartbeatProcessor(StatefulProcessor):
     """Remembers the newest write per object, wakes up when none came for too long, and
-    looks again every hour while the silence lasts."""
+    looks again every hour while the silence lasts. An object that is expected but was never
+    written is known from the initial state: since when it is expected stands for its last write."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.seen = handle.getValueState("seen", _SEEN)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        newest = max(pdf["modified_at"].max() for pdf in rows)
-        if self.seen.exists():
-            newest = max(newest, pd.Timestamp(self.seen.get()[0]))
-        self.seen.update((newest.to_pydatetime(),))
+    def _wake(self, newest: pd.Timestamp, now: int) -> None:
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        now = timerValues.getCurrentProcessingTimeInMs()
-        due = int(pd.Timestamp(newest).tz_localize("UTC").timestamp() * 1000)
-        due += MAX_DATA_AGE_HOURS * 3_600_000
+        due = int(newest.tz_localize("UTC").timestamp() * 1000) + MAX_DATA_AGE_HOURS * 3_600_000
         self.handle.registerTimer(max(due, now + 1))
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        since = pd.Timestamp(initialState["since"].min())
+        self.seen.update((since.to_pydatetime(), False))
+        self._wake(since, timerValues.getCurrentProcessingTimeInMs())
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        newest = max(pdf["modified_at"].max() for pdf in rows)
+        known = self.seen.get() if self.seen.exists() else None
+        if known and known[1]:
+            newest = max(newest, pd.Timestamp(known[0]))
+        self.seen.update((newest.to_pydatetime(), True))
+        now = timerValues.getCurrentProcessingTimeInMs()
+        self._wake(pd.Timestamp(newest), now)
         yield _checks(key[0], now, None)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentProcessingTimeInMs()
-        newest = pd.Timestamp(self.seen.get()[0])
-        age = pd.Timestamp(now, unit="ms") - newest
+        last, written = self.seen.get()
+        age = pd.Timestamp(now, unit="ms") - pd.Timestamp(last)
         hours = age.total_seconds() / 3600
-        text = f"{key[0]} last updated {hours:.1f} h ago (limit {MAX_DATA_AGE_HOURS} h)"
+        text = f"{key[0]}: never written, expected for {hours:.1f} h"
+        if written:
+            text = f"{key[0]}: last write {hours:.1f} h ago, allowed are {MAX_DATA_AGE_HOURS} h"
         self.handle.registerTimer(now + _RECHECK_MS)
         yield _checks(key[0], now, text if hours > MAX_DATA_AGE_HOURS else None)
 
@@ -114,12 +125,17 @@ def stream_alerts(checks: DataFrame) -> DataFrame:
     )
 
 
-def stream_heartbeat(objects: DataFrame) -> DataFrame:
+def stream_heartbeat(objects: DataFrame, expected: DataFrame | None = None) -> DataFrame:
     """A stream of writes (name, modified_at) to checks: healthy on each write, a problem
-    when a processing-time timer finds that nothing was written for too long."""
+    when a processing-time timer finds that nothing was written for too long. ``expected`` (name,
+    since) is a static table of objects that are looked for before their first write."""
+    known = None
+    if expected is not None:
+        known = expected.select("name", "since").groupBy("name")
     return objects.select("name", "modified_at").groupBy("name").transformWithStateInPandas(
         statefulProcessor=HeartbeatProcessor(),
         outputStructType=_CHECK,
         outputMode="append",
         timeMode="processingTime",
+        initialState=known,
     )

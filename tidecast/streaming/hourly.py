@@ -22,18 +22,29 @@ def stream_hourly(
     value_col: str = "value",
     at_least: bool = False,
     reading_cols: Sequence[str] = (),
+    fetched_col: str | None = None,
 ) -> DataFrame:
     """Tumbling one-hour means of a stream; an hour comes out once the watermark passes it.
 
     A reading, named by ``reading_cols`` (default: series and start), counts once however often
-    it is fetched within the watermark. State is one key per open reading and one running mean
-    per open (series, hour). A revision with another value is for ``stream_latest``, which takes
-    revisions of any age.
+    it is fetched within the watermark. With ``fetched_col`` its newest fetch counts, as in
+    ``hourly_mean``: an aggregate keyed by reading and hour keeps the newest fetch of every reading
+    of an open hour, and is let go when the watermark closes the hour and a second aggregate
+    takes its mean. Without it the first fetch to arrive counts. State is one row per open reading
+    and one running mean per open (series, hour). Revisions of any age are for ``stream_latest``.
     """
-    keys = list(reading_cols) or [*series, start_col]
+    keys = list(dict.fromkeys([*series, *(reading_cols or [start_col])]))
     timed = readings.withColumn("_v", no_nan(F.col(value_col))).withWatermark(start_col, watermark)
-    once = timed.dropDuplicatesWithinWatermark(keys)
-    means = once.groupBy(*series, F.window(start_col, "1 hour").alias("_w")).agg(
+    hour = F.window(start_col, "1 hour")
+    if fetched_col:
+        newest = F.max(F.struct(F.col(fetched_col).alias("at"), "_v")).alias("_newest")
+        # The watermark's column may come once among the keys, and the hour is made of it.
+        named = [F.unix_micros(k).alias("_start") if k == start_col else F.col(k) for k in keys]
+        once = timed.groupBy(*named, hour.alias("_hour")).agg(newest).withColumn("_v", F.col("_newest._v"))
+        hour = F.window(F.col("_hour"), "1 hour")
+    else:
+        once = timed.dropDuplicatesWithinWatermark(keys)
+    means = once.groupBy(*series, hour.alias("_w")).agg(
         F.avg("_v").alias("load_mw"), F.count("_v").alias("_n")
     )
     enough = F.col("_n") >= per_hour if at_least else F.col("_n") == per_hour
