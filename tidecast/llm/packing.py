@@ -48,11 +48,10 @@ _LOADED: dict[tuple, BpeTokenizer] = {}
 class BpeTokenizer:
     """Ids of the byte-level BPE in ``json_path``; ``ranks_path`` holds the same vocabulary."""
 
-    def __init__(self, json_path: str, ranks_path: str, pattern: str, remember: int = 400_000):
+    def __init__(self, json_path: str, ranks_path: str, pattern: str, remember: int = 150_000):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(json_path)
+        self.json_path, self._whole = json_path, None
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.plain = tiktoken.Encoding(
@@ -67,6 +66,15 @@ class BpeTokenizer:
             if len(ids) == 1:
                 self.ends[ids[0]] = True
 
+    @property
+    def whole(self):
+        """The tokenizer of the JSON file, loaded for the first text with a special token."""
+        if self._whole is None:
+            from tokenizers import Tokenizer
+
+            self._whole = Tokenizer.from_file(self.json_path)
+        return self._whole
+
     def _bytes(self, text: str) -> bytes:
         return np.array(self.plain.encode_ordinary(text), dtype="<u4").tobytes()
 
