@@ -9,7 +9,15 @@ import numpy as np
 from tidecast.llm import jaccard
 from tidecast.llm.components import components
 from tidecast.llm.exact import drop_exact_copies, exact_groups
-from tidecast.llm.jaccard import drop_near_copies, list_pairs, near_components, prefix_length
+from tidecast.llm.jaccard import (
+    Repeats,
+    _Places,
+    drop_near_copies,
+    list_pairs,
+    near_components,
+    prefix_length,
+    word_hashes,
+)
 
 
 def lowered(text):
@@ -147,3 +155,29 @@ def test_lists_lose_no_pair(monkeypatch):
             >= 90 * (len(sets[a]) + len(sets[b]) - both)
         }
         assert want <= found and want
+
+
+def test_repeats_of_a_stretch():
+    rng = np.random.default_rng(3)
+    for n, size in ((0, 8), (1, 8), (8, 8), (500, 1000), (3000, 1000)):
+        x = rng.integers(0, 300, n).astype(np.uint64)
+        held = Repeats(size)
+        assert held.add(x)
+        tokens, counts = held.take()
+        values, times = np.unique(x, return_counts=True)
+        assert tokens.tolist() == values[times > 1].tolist() and counts.tolist() == times[times > 1].tolist()
+        assert held.size == 0
+    held = Repeats(4)
+    assert held.add(np.array([1, 1], np.uint64)) and not held.add(np.array([1, 2, 3], np.uint64))
+    assert held.take()[1].tolist() == [2] and held.add(np.array([1, 2, 3], np.uint64))
+
+
+def test_word_hashes_do_not_depend_on_blocks():
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcXYZé", k=rng.randint(1, 9))) for _ in range(30_000)] + ["w" * 200_000, "end"]
+    text = " ".join(words) + "\n\t x"
+    whole = word_hashes(text.encode(), _Places())
+    alone = {w: int(word_hashes(w.encode(), _Places())[0]) for w in {*words, "x"}}
+    assert whole.tolist() == [alone[w] for w in [*words, "x"]]
+    assert len(set(alone.values())) == len({w.encode().lower() for w in alone})
+    assert len(word_hashes(b"", _Places())) == len(word_hashes(b" \n\x0b ", _Places())) == 0

@@ -163,24 +163,45 @@ SIZED = "kind int, doc_id long, sid long, n long"
 SKETCHED = "sid long, n int, rare int, mins binary, bits binary, prefix binary, hot binary"
 
 
+class Repeats:
+    """Collects tokens into one array and tells which come more than once, and how often. The array
+    is sorted in place and used again, so a worker holds it once and no copies."""
+
+    def __init__(self, size: int = STRETCH):
+        self.tokens, self.size = np.empty(size, dtype=np.uint64), 0
+
+    def add(self, tokens: np.ndarray) -> bool:
+        """False if there is no room for them before what is held is taken out."""
+        if self.size and self.size + len(tokens) > len(self.tokens):
+            return False
+        if len(tokens) > len(self.tokens):
+            self.tokens = np.empty(len(tokens), dtype=np.uint64)
+        self.tokens[self.size : self.size + len(tokens)] = tokens
+        self.size += len(tokens)
+        return True
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens, counts) of what is held more than once; nothing is held afterwards."""
+        held, self.size = self.tokens[: self.size], 0
+        held.sort()
+        same = np.flatnonzero(held[1:] == held[:-1])
+        first = np.flatnonzero(np.diff(same, prepend=-2) != 1)
+        counts = np.diff(first, append=len(same)) + 1
+        return held[same[first]], counts
+
+
 def _sized(words: int):
     schema = _columns(SIZED)
 
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One row per document (kind 0), and tokens that occur again in a stretch (kind 1)."""
-        shingles, seen, held, size = Shingler(words), set(), [], 0
+        shingles, seen, held = Shingler(words), set(), Repeats()
 
         def again():
-            tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-            some = counts > 1
-            k = int(some.sum())
-            return _batch(
-                schema,
-                np.ones(k, np.int32),
-                [None] * k,
-                tokens[some].view(np.int64),
-                counts[some],
-            )
+            tokens, counts = held.take()
+            k = len(tokens)
+            kinds = np.ones(k, np.int32)
+            return _batch(schema, kinds, [None] * k, tokens.view(np.int64), counts)
 
         for b in batches:
             ids, sizes = [], []
@@ -191,13 +212,11 @@ def _sized(words: int):
                 if ids[-1] not in seen:  # equal sets count once, as they are compared once
                     if len(seen) < _REMEMBERED:
                         seen.add(ids[-1])
-                    held.append(tokens)
-                    size += len(tokens)
+                    if not held.add(tokens):
+                        yield again()
+                        held.add(tokens)
             yield _batch(schema, np.zeros(len(ids), np.int32), b.column(0), ids, sizes)
-            if size >= STRETCH:
-                yield again()
-                held, size = [], 0
-        if size:
+        if held.size:
             yield again()
 
     return sized
