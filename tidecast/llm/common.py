@@ -10,9 +10,11 @@ from tidecast.session import materialize
 QUERIES: dict = {}
 ORACLES: dict = {}
 
-#: Rows and bytes of one Arrow batch. Texts may be long, so a batch is bounded by both.
+#: Rows and bytes of one Arrow batch. Texts may be long, so a batch is bounded by both. A session
+#: may ask for smaller ones, as a chain of operators that shares its executors does.
 BATCH_ROWS = 1024
 BATCH_BYTES = 16 << 20
+BATCH_SETTING = "tidecast.batch.bytes"
 
 
 def query(name: str, sql: str | None = None):
@@ -33,9 +35,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def bounded_batches(spark: SparkSession) -> None:
     """Keep Arrow batches small enough for workers that hold long texts."""
+    most = spark.conf.get(BATCH_SETTING, str(BATCH_BYTES))
     spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
 
 
 def crc_bucket(column: str, parts: int):
@@ -52,6 +55,7 @@ def partitions_for(df: DataFrame, per_task: int, rows: int) -> int:
 __all__ = [
     "BATCH_BYTES",
     "BATCH_ROWS",
+    "BATCH_SETTING",
     "ORACLES",
     "QUERIES",
     "bounded_batches",
