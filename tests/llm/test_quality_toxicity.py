@@ -2,13 +2,14 @@ from __future__ import annotations
 
 import random
 import zlib
+from dataclasses import replace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidecast.llm.quality import STATISTICS, keep_good, quality_scores, statistics
-from tidecast.llm.toxicity import ToxicModel, fit_toxicity, toxicity_scores, words
+from tidecast.llm.toxicity import ToxicModel, features_of, fit_toxicity, toxicity_scores, words
 
 
 def corpus(n: int, seed: int = 3):
@@ -129,3 +130,26 @@ def test_toxicity_counts_all_rows_and_keeps_the_prior(spark, documents):
     for model in (whole, cut):
         x = np.array([model.features(t) for _, t, _ in rows])
         assert abs(model.score(x).mean() - np.mean([x for _, _, x in rows])) < 0.06
+
+
+def test_toxicity_keeps_every_word_beyond_the_table_bound(spark, documents):
+    """More kept words than ``entries``: each still scores by its own ratio, through a join."""
+    rows = corpus(400)
+    docs, labels = tables(spark, documents, rows, [(900, None), (901, ""), (902, "vileword")])
+    whole = {r.doc_id: r.score for r in toxicity_scores(docs, labels).collect()}
+    bounded = toxicity_scores(docs, labels, entries=2).collect()
+    assert len(bounded) == len(whole) == 403
+    assert {r.doc_id: r.score for r in bounded} == pytest.approx(whole, abs=1e-9)
+    texts = documents([(k, t) for k, t, _, _ in rows] + [(900, None), (901, "")])
+    for span in (1, 3):
+        full = fit_toxicity(texts, labels, "toxic", F.lit(True), span=span)
+        cut = fit_toxicity(texts, labels, "toxic", F.lit(True), span=span, entries=2)
+        assert full.table is None and cut.ratios is None
+        assert {r.word: r.ratio for r in cut.table.collect()} == pytest.approx(full.ratios)
+        shared = spark.sparkContext.broadcast(replace(cut, table=None))
+        got = {r.doc_id: r.x for r in features_of(texts, cut, shared).collect()}
+        given = [(k, t) for k, t, _, _ in rows] + [(900, None), (901, "")]
+        want = {k: list(full.features(t)) for k, t in given}
+        assert got.keys() == want.keys()
+        for k, x in want.items():
+            assert got[k] == pytest.approx(x)
