@@ -474,6 +474,9 @@ def data_fingerprint(spark, sf):
     return agg.data_fingerprint(b.read(spark, sf, "lineitem"))
 
 
+REORDER_ROWS_PER_TASK = 1_000_000
+
+
 @query(
     "D20_fingerprint_stable",
     "SELECT true AS same_when_reordered, false AS same_when_changed FROM (SELECT count(*) FROM lineitem)",
@@ -482,7 +485,9 @@ def fingerprint_stable(spark, sf):
     """The whole table hashed three ways: as read, in another order, with one value changed."""
     items = b.read(spark, sf, "lineitem")
     first = items.agg(F.min(F.struct("l_orderkey", "l_linenumber", "l_extendedprice")).alias("f"))
-    moved = items.repartition(5, "l_partkey").sortWithinPartitions(F.desc("l_quantity"))
+    # as many parts as the table needs, so that no task reads more as the table grows
+    parts = max(5, -(-items.count() // REORDER_ROWS_PER_TASK))
+    moved = items.repartition(parts, "l_partkey").sortWithinPartitions(F.desc("l_quantity"))
     price = F.when(
         F.struct("l_orderkey", "l_linenumber", "l_extendedprice") == F.col("f"), F.col("l_extendedprice") + 0.01
     ).otherwise(F.col("l_extendedprice"))
